@@ -214,3 +214,8 @@ def describe(specs: DataFrame, group: list[str], column: str, into: str) -> Data
     """One comma-separated text per group, items distinct and in order."""
     listed = F.array_join(F.array_sort(F.collect_set(column)), ",")
     return specs.groupBy(*group).agg(listed.alias(into))
+
+
+def first_rows(df: DataFrame, order: list[Column], count: int) -> DataFrame:
+    """The first ``count`` rows in order; each task keeps only its own first rows."""
+    return df.orderBy(*order).limit(count)

@@ -111,14 +111,19 @@ def summary_rows(readings: DataFrame, dims: Dimensions, summary: Summary,
     )
 
 
-def load_summary(target: DataFrame, readings: DataFrame, dims: Dimensions, summary: Summary,
-                 as_of: datetime, options: RollupOptions = STRICT,
-                 duplicates: str = "raise") -> MergeResult:
+def merge_summary(target: DataFrame, rows: DataFrame, summary: Summary, as_of: datetime,
+                  duplicates: str = "raise") -> MergeResult:
     """Upsert on location, attribute, date and time; crew and shift stay as first loaded.
 
     With the target partitioned by ReportingDateKey, pass the partitions that the
     source touches and write the result over those alone.
     """
-    source = summary_rows(readings, dims, summary, options)
-    rules = KeyRules(SUMMARY_KEY, duplicates=duplicates)
-    return upsert(target, source, rules, as_of, update=summary.measures)
+    return upsert(target, rows, KeyRules(SUMMARY_KEY, duplicates), as_of, update=summary.measures)
+
+
+def load_summary(target: DataFrame, readings: DataFrame, dims: Dimensions, summary: Summary,
+                 as_of: datetime, options: RollupOptions = STRICT,
+                 duplicates: str = "raise") -> MergeResult:
+    """Readings to merged summary."""
+    rows = summary_rows(readings, dims, summary, options)
+    return merge_summary(target, rows, summary, as_of, duplicates)
