@@ -39,7 +39,11 @@ def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def shown(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Chosen columns with timestamps as text and doubles rounded, to compare across engines."""
+    """Chosen columns with timestamps as text and doubles rounded, to compare across engines.
+
+    Engines add in different orders, so an exact tie may round either way; the bit
+    added on top of one half keeps values of up to nine digits off the tie.
+    """
     kinds = dict(df.dtypes)
     picked = []
     for name in columns or df.columns:
@@ -47,6 +51,11 @@ def shown(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
         if kinds[name].startswith("timestamp"):
             col = col.cast("string")
         elif kinds[name] == "double":
-            col = F.round(col, digits)
+            col = F.floor(col * 10**digits + 0.5003) / 10**digits
         picked.append(col.alias(name))
     return df.select(*picked)
+
+
+def rounded(column: str, digits: int = 6) -> str:
+    """The oracle's side of the rounding in ``shown``."""
+    return f"floor({column} * {10**digits} + 0.5003) / {10**digits}"

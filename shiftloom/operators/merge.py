@@ -4,7 +4,9 @@ Every merge is two joins: the target left-joined to one source row per key, whic
 decides what happens to the rows that are there, and the source anti-joined to the
 target's keys, which finds the new ones. Only the target side of the first join can
 have a hot key, and a left join lets Spark split that side or send the other one to
-every task when it measures small; a full outer join allows neither.
+every task when it measures small; a full outer join allows neither. Both joins read
+the source, so a source that is costly to compute should be settled first; the loads
+in ``plans`` do so.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import clock, text
+from ..sources.tables import settle
 from .keys import assign_keys, highest_key
 
 CREATED, MODIFIED = "CreatedDate", "ModifiedDate"
@@ -59,9 +62,8 @@ class MergeResult:
         return self.existing.unionByName(self.inserted)
 
     def durable(self) -> MergeResult:
-        """The same with all parts written to the checkpoint folder, to be read many times."""
-        parts = (self.existing, self.inserted, self.changes)
-        return MergeResult(*[part.checkpoint() for part in parts])
+        """The same with all parts written to the shared folder, to be read many times."""
+        return MergeResult(settle(self.existing), settle(self.inserted), settle(self.changes))
 
 
 @dataclass(frozen=True)

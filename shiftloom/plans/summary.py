@@ -15,6 +15,7 @@ from ..operators.merge import KeyRules, MergeResult, upsert
 from ..operators.rollup import MEASURES, before_shift_end, latest, roll_up
 from ..operators.shifts import attribute_shift
 from ..operators.status import flag_readings
+from ..sources.tables import settle
 
 SUMMARY_KEY = ("LocationKey", "AttributeKey", "ReportingDateKey", "ReportingTimeKey")
 EASTERN = "America/New_York"
@@ -124,6 +125,6 @@ def merge_summary(target: DataFrame, rows: DataFrame, summary: Summary, as_of: d
 def load_summary(target: DataFrame, readings: DataFrame, dims: Dimensions, summary: Summary,
                  as_of: datetime, options: RollupOptions = STRICT,
                  duplicates: str = "raise") -> MergeResult:
-    """Readings to merged summary."""
-    rows = summary_rows(readings, dims, summary, options)
+    """Readings to merged summary. The bands are written once before the merge reads them."""
+    rows = settle(summary_rows(readings, dims, summary, options))
     return merge_summary(target, rows, summary, as_of, duplicates)

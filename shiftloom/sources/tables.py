@@ -8,6 +8,7 @@ which Spark stages and moves into place at commit.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def settle(rows: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it from there.
+
+    For a source that several joins read: it is computed once, outlives a lost
+    executor, and Spark knows its true size and can skip its columns.
+    """
+    path = f"{shared_folder(rows.sparkSession)}/settled/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def append(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Plain insert. An insert-only merge needs no more than this for its new rows."""
     writer = rows.write.mode("append")
