@@ -117,7 +117,8 @@ def flag_readings(readings: DataFrame, close_open_off: bool = False, dedupe: boo
     )
     if dedupe:
         return flagged.select(*readings.columns, "_stopped", F.lit(1).alias("_weight"))
-    counts = switches.groupBy(*[F.col(c).alias(f"_n_{c}") for c in SENSOR]).agg(
+    counted = readings.where(text.is_run_status(F.col("CategoryName")))
+    counts = counted.groupBy(*[F.col(c).alias(f"_n_{c}") for c in SENSOR]).agg(
         F.count(F.lit(1)).alias("_switches")
     )
     same = reduce(and_, [F.col(c) == F.col(f"_n_{c}") for c in SENSOR])

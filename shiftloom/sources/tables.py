@@ -35,13 +35,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_name() -> str:
+    return uuid.uuid4().hex
+
+
 def settle(rows: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and read it from there.
 
     For a source that several joins read: it is computed once, outlives a lost
     executor, and Spark knows its true size and can skip its columns.
     """
-    path = f"{shared_folder(rows.sparkSession)}/settled/{uuid.uuid4().hex}"
+    path = f"{shared_folder(rows.sparkSession)}/settled/{new_name()}"
     rows.write.parquet(path)
     return rows.sparkSession.read.parquet(path)
 
