@@ -160,7 +160,7 @@ ORACLE_ONLY["flat_reasons"] = flat_sql("")
 @query("SELECT * FROM {flat_reasons}")
 def reasons_flattened(i: Inputs) -> DataFrame:
     """Reasons with the names of all their levels."""
-    return hierarchy.flatten(hierarchy.with_parent_id(i["reason_stage"]))
+    return dimensions.flat_reasons(i["reason_stage"])
 
 
 REASON_COLUMNS = ["ReasonHierarchy", "ReasonName", "ReasonParentKey", "OeeCategory", *SLOTS, "Level"]
@@ -444,7 +444,7 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_cu
 JOIN {nation} ON c_nationkey = n_nationkey JOIN {part} ON l_partkey = p_partkey"""
 INPUTS["forecast_detail"] = """
 SELECT dense_rank() OVER (PARTITION BY ForecastYear ORDER BY ForecastMonth, Channel, FileName, Version,
-                          Segment, BusinessUnit, Type, ChangedBy) + ForecastYear * 10000000
+                          Segment, BusinessUnit, Type, ChangedBy) + CAST(ForecastYear AS BIGINT) * 10000000
          AS ForecastDetailKey,
        upper(Channel) AS Channel, FileName, Version, lower(Segment) AS Segment, BusinessUnit,
        ForecastMonth, ForecastYear, Type, ChangedBy

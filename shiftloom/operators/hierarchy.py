@@ -34,40 +34,37 @@ def flatten(rows: DataFrame, max_depth: int = NAMED_LEVELS) -> DataFrame:
     Each row climbs to its ancestors, one join per step, all on the parent's unique
     ID; a slot takes the name of the nearest row at that level. Rows that reach no
     root, cycles among them, do not appear. A row deeper than the climb reaches fails
-    the job instead of getting lost.
+    the job instead of getting lost. ``rows`` are read once per step.
     """
-    nodes = rows.select(
-        F.col("ReasonID").alias("_id"), F.col("ReasonParentID").alias("_up"),
-        F.col("ReasonName").alias("_name"), F.col("Level").alias("_level"),
-    )
 
-    def slot(name: Column, level: Column, number: int) -> Column:
-        return F.when(level == number, name)
+    def step_of(level: str, name: str) -> Column:
+        return F.struct(F.col(level).alias("level"), F.col(name).alias("name"))
 
-    slots = {
-        f"Level{n}Name": slot(F.col("ReasonName"), F.col("Level"), n)
-        for n in range(1, NAMED_LEVELS + 1)
-    }
-    climbing = F.when(F.col("Level") != 1, F.col("ReasonParentID"))
-    climbed = rows.withColumns(
-        {**slots, "_rooted": F.col("Level") == 1, "_next": climbing}
+    nodes = rows.select(
+        F.col("ReasonID").alias("_id"), F.col("ReasonParentID").alias("_up"),
+        F.col("Level").alias("_level"), step_of("Level", "ReasonName").alias("_step"),
     )
+    climbed = rows.withColumns({
+        "_steps": F.array(step_of("Level", "ReasonName")),
+        "_rooted": F.col("Level") == 1,
+        "_next": F.when(F.col("Level") != 1, F.col("ReasonParentID")),
+    })
     for _ in range(max_depth - 1):
-        step = climbed.join(nodes, F.col("_next") == F.col("_id"), "left")
-        names = {
-            f"Level{n}Name": F.coalesce(F.col(f"Level{n}Name"), slot(F.col("_name"), F.col("_level"), n))
-            for n in range(1, NAMED_LEVELS + 1)
-        }
+        met = F.col("_id").isNotNull()
         at_root = F.coalesce(F.col("_level") == 1, F.lit(False))
-        climbed = step.withColumns({
-            **names,
+        climbed = climbed.join(nodes, F.col("_next") == F.col("_id"), "left").withColumns({
+            "_steps": F.when(met, F.array_append("_steps", F.col("_step"))).otherwise(F.col("_steps")),
             "_rooted": F.col("_rooted") | at_root,
             "_next": F.when(~at_root, F.col("_up")),
-        }).drop("_id", "_up", "_name", "_level")
+        }).drop("_id", "_up", "_level", "_step")
     too_deep = F.col("_next").isNotNull() & (F.col("Level") > max_depth)
     error = F.raise_error(F.lit("hierarchy deeper than max_depth")).cast("boolean")
     kept = climbed.where(F.when(too_deep, error).otherwise(F.col("_rooted")))
-    return kept.drop("_rooted", "_next", "ReasonCode")
+    slots = {
+        f"Level{n}Name": F.get(F.filter("_steps", lambda s, n=n: s["level"] == n), 0)["name"]
+        for n in range(1, NAMED_LEVELS + 1)
+    }
+    return kept.withColumns(slots).drop("_rooted", "_next", "_steps", "ReasonCode")
 
 
 def level_names(levels: Mapping[str, tuple[int, tuple[str, ...]]]) -> dict[str, Column]:

@@ -11,7 +11,7 @@ in ``plans`` do so.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 from functools import reduce
 from operator import and_, or_
@@ -61,9 +61,9 @@ class MergeResult:
     def state(self) -> DataFrame:
         return self.existing.unionByName(self.inserted)
 
-    def durable(self) -> MergeResult:
-        """The same with all parts written to the shared folder, to be read many times."""
-        return MergeResult(settle(self.existing), settle(self.inserted), settle(self.changes))
+    def settled(self) -> MergeResult:
+        """The same with both parts of the state written to the shared folder, to be read again."""
+        return replace(self, existing=settle(self.existing), inserted=settle(self.inserted))
 
 
 @dataclass(frozen=True)

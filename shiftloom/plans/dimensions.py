@@ -13,6 +13,7 @@ from ..operators.lookups import Lookup, look_up, resolve
 from ..operators.merge import (
     AUDIT, HISTORY, HistoryRules, KeyRules, MergeResult, history, upsert,
 )
+from ..sources.tables import settle
 from .units import units_by_source_name
 
 # Fixed value: start of the first version of attributes and reasons.
@@ -53,7 +54,7 @@ def attribute_source(stage: DataFrame, units: DataFrame, mapping: DataFrame) ->
 def load_attributes(target: DataFrame, stage: DataFrame, units: DataFrame, mapping: DataFrame,
                     as_of: datetime, options: Options = STRICT) -> MergeResult:
     source = attribute_source(stage, units, mapping)
-    return history(target, source, ATTRIBUTE_KEY, options.on(ATTRIBUTE_HISTORY), as_of)
+    return history(target, settle(source), ATTRIBUTE_KEY, options.on(ATTRIBUTE_HISTORY), as_of)
 
 
 @dataclass(frozen=True)
@@ -111,29 +112,32 @@ def measure_source(stage: DataFrame, dimension: DataFrame, tree: TreeDimension)
     )
 
 
-def reason_source(stage: DataFrame, dimension: DataFrame,
-                  max_depth: int = hierarchy.NAMED_LEVELS) -> tuple[DataFrame, DataFrame]:
-    """Flattened reasons as (merge source, rows with parent IDs)."""
-    flat = hierarchy.flatten(hierarchy.with_parent_id(stage), max_depth)
+def flat_reasons(stage: DataFrame, max_depth: int = hierarchy.NAMED_LEVELS) -> DataFrame:
+    """Reasons with the names of all their levels and their parent's ID.
+
+    Written once before the climb, which reads them at every step.
+    """
+    return hierarchy.flatten(settle(hierarchy.with_parent_id(stage)), max_depth)
+
+
+def reason_source(flat: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Flattened reasons with the key of their parent."""
     with_parent = hierarchy.with_parent_key(
         flat, dimension, REASON.parent_id, REASON.id, REASON.key, REASON.parent_key
     )
-    return with_parent.drop(REASON.parent_id), flat
+    return with_parent.drop(REASON.parent_id)
 
 
 def _load_tree(target: DataFrame, source: DataFrame, links: DataFrame, tree: TreeDimension,
-               as_of: datetime, options: Options, first_start: date | None,
-               durable: bool) -> MergeResult:
-    """Merge, then fill parent keys from the merged rows, which are read again for it.
+               as_of: datetime, options: Options, first_start: date | None) -> MergeResult:
+    """Merge, then fill parent keys from the merged rows.
 
-    ``durable`` writes the merged rows to the checkpoint folder first.
+    The source and the merged rows are each read several times and so written once.
     """
     rules = KeyRules((tree.id,), surrogate=tree.key)
     tracked = tuple(c for c in source.columns if c != tree.id)
     how = HistoryRules(tracked=tracked, first_start=first_start, first_nulls=(tree.parent_key,))
-    merged = history(target, source, rules, options.on(how), as_of)
-    if durable:
-        merged = merged.durable()
+    merged = history(target, settle(source), rules, options.on(how), as_of).settled()
 
     def filled(rows: DataFrame) -> DataFrame:
         return hierarchy.fill_parent_keys(
@@ -144,16 +148,17 @@ def _load_tree(target: DataFrame, source: DataFrame, links: DataFrame, tree: Tre
 
 
 def load_measures(target: DataFrame, stage: DataFrame, tree: TreeDimension, as_of: datetime,
-                  options: Options = STRICT, durable: bool = False) -> MergeResult:
+                  options: Options = STRICT) -> MergeResult:
     """Environment or operations measures."""
     source = measure_source(stage, target, tree)
-    return _load_tree(target, source, stage, tree, as_of, options, None, durable)
+    return _load_tree(target, source, stage, tree, as_of, options, None)
 
 
 def load_reasons(target: DataFrame, stage: DataFrame, as_of: datetime, options: Options = STRICT,
-                 max_depth: int = hierarchy.NAMED_LEVELS, durable: bool = False) -> MergeResult:
-    source, links = reason_source(stage, target, max_depth)
-    return _load_tree(target, source, links, REASON, as_of, options, FIRST_START, durable)
+                 max_depth: int = hierarchy.NAMED_LEVELS) -> MergeResult:
+    """Reason dimension."""
+    flat = settle(flat_reasons(stage, max_depth))
+    return _load_tree(target, reason_source(flat, target), flat, REASON, as_of, options, FIRST_START)
 
 
 def load_dimension(target: DataFrame, stage: DataFrame, rules: KeyRules, as_of: datetime,
@@ -167,7 +172,7 @@ def load_dimension(target: DataFrame, stage: DataFrame, rules: KeyRules, as_of:
     with ``only_current`` versions real changes only.
     """
     lookups = list(lookups)
-    source = resolve(stage, lookups, tables or {}) if lookups else stage
+    source = settle(resolve(stage, lookups, tables or {})) if lookups else stage
     own = {rules.surrogate, *rules.columns}
     if type2:
         tracked = tuple(c for c in target.columns if c not in own and c not in HISTORY)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.lookups import Lookup, common_lookups, look_up, resolve, with_location, with_next_day
 from ..operators.merge import KeyRules, MergeResult, VersionRules, insert_only, versioned
 from ..operators.shifts import attribute_shift
+from ..sources.tables import settle
 
 
 @dataclass(frozen=True)
@@ -65,7 +66,7 @@ def load_fact(target: DataFrame, stage: DataFrame, lookups: Iterable[Lookup],
               location: LocationRule | None = None, shift: ShiftRule | None = None,
               version: VersionRules | None = None) -> MergeResult:
     """Any fact, inserted only or, with ``version``, versioned. ``key`` leaves out the version start."""
-    source = fact_source(stage, lookups, tables, location, shift)
+    source = settle(fact_source(stage, lookups, tables, location, shift))
     if version is None:
         return insert_only(target, source, KeyRules(key), as_of)
     return versioned(target, source, KeyRules(key), version, as_of)
@@ -77,7 +78,7 @@ def load_simple_fact(target: DataFrame, stage: DataFrame, metadata: Iterable[Map
                      version: VersionRules | None = None) -> MergeResult:
     """The common variant: simple metadata, misses stay NULL, rows not made distinct, new rows
     without a modification date. Clear the stage table once the result is written."""
-    source = resolve(stage, common_lookups(metadata, stage_table, keys), tables)
+    source = settle(resolve(stage, common_lookups(metadata, stage_table, keys), tables))
     if version is None:
         return insert_only(target, source, KeyRules(key), as_of, stamp_modified=False)
     return versioned(target, source, KeyRules(key), version, as_of)

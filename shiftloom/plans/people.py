@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text
 from ..operators.merge import KeyRules, MergeResult, upsert
+from ..sources.tables import settle
 
 COLUMNS = [
     "PersonUID", "PersonID", "OperatorID", "OISOperatorAlias", "FirstName", "LastName",
@@ -66,5 +67,5 @@ def load_operators(target: DataFrame, operators: DataFrame, persons: DataFrame,
                    duplicates: str = "raise") -> MergeResult:
     """People matched by name; one without a name matches nobody unless ``null_safe_keys``."""
     rules = replace(NAME_KEY, null_safe=null_safe_keys, duplicates=duplicates)
-    source = operator_source(operators, persons, aliases)
+    source = settle(operator_source(operators, persons, aliases))
     return upsert(target, source, rules, as_of, update=UPDATED)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
 from ..operators.merge import KeyRules, MergeResult, upsert
+from ..sources.tables import settle
 
 UNIT_KEY = KeyRules(
     ("UnitOfMeasureName",), surrogate="UnitOfMeasureKey",
@@ -54,7 +55,7 @@ def unit_names(units: DataFrame, attributes: DataFrame, mapping: DataFrame, fore
 
 def load_units(target: DataFrame, units: DataFrame, attributes: DataFrame, mapping: DataFrame,
                forecast: DataFrame, as_of: datetime, either_name: bool = False) -> MergeResult:
-    source = unit_names(units, attributes, mapping, forecast, either_name)
+    source = settle(unit_names(units, attributes, mapping, forecast, either_name))
     return upsert(target, source, UNIT_KEY, as_of, update=("UnitOfMeasureID",))
 
 
