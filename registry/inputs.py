@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shiftloom.sources.tables import new_name, shared_folder
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 INPUTS: dict[str, str] = {}
@@ -394,8 +396,15 @@ def _dialect(sql: str, swaps: list[tuple[str, str]]) -> str:
     return sql
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class Inputs:
-    """Test tables and inputs of one folder as DataFrames."""
+    """Test tables and inputs of one folder as DataFrames.
+
+    An input is derived and written once per application, as a warehouse stores its
+    stage and target tables, and read from there.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
@@ -403,9 +412,15 @@ class Inputs:
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        sql = _dialect(INPUTS[name], _SPARK)
-        needed = set(_NAME.findall(sql))
-        return self.spark.sql(sql, **{n: self[n] for n in needed})
+        known = (self.spark.sparkContext.applicationId, self.folder, name)
+        if known not in _STORED:
+            sql = _dialect(INPUTS[name], _SPARK)
+            needed = set(_NAME.findall(sql))
+            derived = self.spark.sql(sql, **{n: self[n] for n in needed})
+            path = f"{shared_folder(self.spark)}/inputs/{new_name()}"
+            derived.write.parquet(path)
+            _STORED[known] = path
+        return self.spark.read.parquet(_STORED[known])
 
 
 def oracle(sql: str) -> str:

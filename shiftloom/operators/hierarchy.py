@@ -37,6 +37,10 @@ def flatten(rows: DataFrame, max_depth: int = NAMED_LEVELS) -> DataFrame:
     the job instead of getting lost. ``rows`` are read once per step.
     """
 
+    def name_at(number: int) -> Column:
+        found = F.filter("_steps", lambda step: step["level"] == number)
+        return F.get(found, 0)["name"]
+
     def step_of(level: str, name: str) -> Column:
         return F.struct(F.col(level).alias("level"), F.col(name).alias("name"))
 
@@ -60,10 +64,7 @@ def flatten(rows: DataFrame, max_depth: int = NAMED_LEVELS) -> DataFrame:
     too_deep = F.col("_next").isNotNull() & (F.col("Level") > max_depth)
     error = F.raise_error(F.lit("hierarchy deeper than max_depth")).cast("boolean")
     kept = climbed.where(F.when(too_deep, error).otherwise(F.col("_rooted")))
-    slots = {
-        f"Level{n}Name": F.get(F.filter("_steps", lambda s, n=n: s["level"] == n), 0)["name"]
-        for n in range(1, NAMED_LEVELS + 1)
-    }
+    slots = {f"Level{n}Name": name_at(n) for n in range(1, NAMED_LEVELS + 1)}
     return kept.withColumns(slots).drop("_rooted", "_next", "_steps", "ReasonCode")
 
 

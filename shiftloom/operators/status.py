@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import clock, text
 
 SENSOR = ["ElementAttributeID", "ElementID"]
-SLOT_MINUTES = 5
+SLOT_MINUTES = 15
+HOT_ROWS = 2_000_000
 
 
 def time_slot(ts: Column, minutes: int = SLOT_MINUTES) -> Column:
@@ -65,64 +66,81 @@ def status_switches(readings: DataFrame, slot_minutes: int = SLOT_MINUTES) -> Da
     return rows.withColumn("NextStatus", next_status).drop("_has_next")
 
 
-def measurements(readings: DataFrame) -> DataFrame:
-    return readings.where(~text.is_run_status(F.col("CategoryName")))
-
-
-def _last_times(readings: DataFrame) -> DataFrame:
-    return measurements(readings).groupBy(*SENSOR).agg(F.max("Time").alias("_last_time"))
+def _slots(marked: DataFrame) -> DataFrame:
+    """One row per sensor and occupied slot: last switch, number of switches, number of rows."""
+    switch = F.when(F.col("_is_status"), F.struct("Time", "Value"))
+    return marked.groupBy(*SENSOR, "_slot").agg(
+        F.max(switch).alias("_last"), F.count(switch).alias("_n"), F.count(F.lit(1)).alias("_rows")
+    )
 
 
-def stopped_pieces(switches: DataFrame, slot_minutes: int = SLOT_MINUTES) -> DataFrame:
-    """Stopped intervals, cut into the time slots they touch."""
-    stopped = switches.where(
-        (text.fold(F.col("InitialStatus")) == text.STATUS_OFF)
-        & (F.col("NextStatusTime") > F.col("InitialStatusTime"))
-    )
-    first = time_slot(F.col("InitialStatusTime"), slot_minutes)
-    last = time_slot(F.col("NextStatusTime"), slot_minutes)
-    return stopped.select(
-        *[F.col(c).alias(f"_off_{c}") for c in SENSOR],
-        F.explode(F.sequence(first, last)).alias("_off_slot"),
-        F.col("InitialStatusTime").alias("_off_from"),
-        F.col("NextStatusTime").alias("_off_to"),
+def _carried(slots: DataFrame) -> DataFrame:
+    """Each slot with the switch carried into it and its sensor's switch count and last switch."""
+    sensor = Window.partitionBy(*SENSOR)
+    before = sensor.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    return slots.select(
+        *SENSOR, "_slot", "_rows",
+        F.last("_last", ignorenulls=True).over(before).alias("_carry"),
+        F.sum("_n").over(sensor).alias("_switches"),
+        F.max("_last.Time").over(sensor).alias("_last_switch"),
     )
 
 
 def flag_readings(readings: DataFrame, close_open_off: bool = False, dedupe: bool = False,
-                  slot_minutes: int = SLOT_MINUTES) -> DataFrame:
+                  slot_minutes: int = SLOT_MINUTES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Measurements with ``_stopped`` (1 inside a stopped interval) and ``_weight``.
 
     Matching a measurement with each of its sensor's K switches yields K copies, of
-    which at most one is stopped, since the intervals of a sensor are disjoint. The
-    copies are counted in ``_weight`` instead of being made; ``dedupe`` counts each
-    measurement once. ``close_open_off`` lets a last stop without a next switch run on
-    to the sensor's last measurement.
+    which at most one is stopped: the one of the latest switch strictly before it, if
+    that is a stop and a later switch ends it. The copies are counted in ``_weight``
+    instead of being made; ``dedupe`` counts each measurement once. With
+    ``close_open_off`` a last stop needs no later switch.
+
+    A sensor's slot is one group, led by a row that carries the state into it. Groups
+    of more than ``hot_rows`` rows are split further, their switches copied to each
+    part; the list of them holds at most one row per ``hot_rows`` readings and is
+    broadcast on that ground.
     """
-    switches = status_switches(readings, slot_minutes)
-    intervals = switches
-    if close_open_off:
-        ends = _last_times(readings).select(*[F.col(c).alias(f"_end_{c}") for c in SENSOR], "_last_time")
-        same = reduce(and_, [F.col(c) == F.col(f"_end_{c}") for c in SENSOR])
-        intervals = switches.join(ends, same, "left").withColumn(
-            "NextStatusTime", F.coalesce(F.col("NextStatusTime"), F.col("_last_time"))
-        )
-    pieces = stopped_pieces(intervals, slot_minutes)
-    rows = measurements(readings).withColumn("_slot", time_slot(F.col("Time"), slot_minutes))
-    inside = reduce(and_, [F.col(c) == F.col(f"_off_{c}") for c in SENSOR])
-    inside = inside & (F.col("_slot") == F.col("_off_slot"))
-    inside = inside & (F.col("Time") > F.col("_off_from")) & (F.col("Time") <= F.col("_off_to"))
-    flagged = rows.join(pieces, inside, "left").withColumn(
-        "_stopped", F.when(F.col("_off_from").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    marked = readings.select(
+        *readings.columns, time_slot(F.col("Time"), slot_minutes).alias("_slot"),
+        text.is_run_status(F.col("CategoryName")).alias("_is_status"),
+    ).where(F.col("_is_status").isNotNull())
+    slots = _slots(marked)
+    parts = F.ceil(F.col("_rows") / hot_rows)
+    hot = slots.where(F.col("_rows") > hot_rows).select(
+        *[F.col(c).alias(f"_hot{c}") for c in [*SENSOR, "_slot"]], parts.alias("_parts")
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot{c}")) for c in [*SENSOR, "_slot"]])
+    count = F.coalesce(F.col("_parts"), F.lit(1))
+    # The partition number keeps copies of one reading apart and is the same when a task is repeated.
+    scattered = F.pmod(F.xxhash64("Time", "Attribute", "Value", F.spark_partition_id()), count)
+    part = F.when(F.col("_is_status"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(scattered))
+    rows = marked.join(F.broadcast(hot), same, "left").select(
+        *marked.columns, F.explode(part).alias("_part"),
+        F.when(F.col("_is_status"), F.lit(2)).otherwise(F.lit(1)).alias("_order"),
+    )
+    leads = _carried(slots).select(
+        *SENSOR, "_slot", "_carry", "_switches", "_last_switch", F.lit(0).alias("_order"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"),
     )
-    if dedupe:
-        return flagged.select(*readings.columns, "_stopped", F.lit(1).alias("_weight"))
-    counted = readings.where(text.is_run_status(F.col("CategoryName")))
-    counts = counted.groupBy(*[F.col(c).alias(f"_n_{c}") for c in SENSOR]).agg(
-        F.count(F.lit(1)).alias("_switches")
+    # A lead has no time and so comes first; a measurement comes before a switch of the same time.
+    group = Window.partitionBy(*SENSOR, "_slot", "_part").orderBy("Time", "_order", "Value")
+    so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    switch = F.when(F.col("_order") == 0, F.col("_carry")).when(
+        F.col("_order") == 2, F.struct("Time", "Value")
     )
-    same = reduce(and_, [F.col(c) == F.col(f"_n_{c}") for c in SENSOR])
-    weight = F.coalesce(F.col("_switches"), F.lit(1))
-    return flagged.join(counts, same, "left").select(
-        *readings.columns, "_stopped", weight.alias("_weight")
+    seen = rows.unionByName(leads, allowMissingColumns=True).withColumns({
+        "_state": F.last(switch, ignorenulls=True).over(so_far),
+        "_switches": F.first("_switches").over(so_far),
+        "_last_switch": F.first("_last_switch").over(so_far),
+    }).where(F.col("_order") == 1)
+    known = reduce(and_, [F.col(c).isNotNull() for c in SENSOR])
+    off = known & (text.fold(F.col("_state.Value")) == text.STATUS_OFF)
+    if not close_open_off:
+        off = off & (F.col("Time") <= F.col("_last_switch"))
+    copies = F.when(known & (F.col("_switches") > 0), F.col("_switches")).otherwise(F.lit(1))
+    return seen.select(
+        *readings.columns,
+        F.when(off, F.lit(1)).otherwise(F.lit(0)).alias("_stopped"),
+        (F.lit(1) if dedupe else copies).cast("bigint").alias("_weight"),
     )
