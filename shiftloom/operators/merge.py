@@ -220,6 +220,15 @@ def _replace(joined: DataFrame, target: DataFrame, values: dict[str, Column]) ->
     return joined.select(*columns)
 
 
+def _sources_where(joined: DataFrame, test: Column) -> DataFrame:
+    """Source rows behind the target rows that pass ``test``, NULL columns where there is none.
+
+    Unpacked from an array instead of filtered: from a filter over many columns that are
+    then renamed, the optimizer derives a constraint for every subset of them.
+    """
+    return joined.select(F.inline(F.when(test, F.array("src"))))
+
+
 def _feed(action: str, rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(F.lit(action).alias("action"), *columns)
 
@@ -254,7 +263,7 @@ def upsert(target: DataFrame, source: DataFrame, rules: KeyRules, as_of: datetim
     if MODIFIED in target.columns:
         values[MODIFIED] = F.when(F.col("_fires"), now).otherwise(F.col(MODIFIED))
     existing = _replace(joined, target, values)
-    updated = _feed("UPDATE", joined.where("_fires").select("src.*"), source.columns)
+    updated = _feed("UPDATE", _sources_where(joined, F.col("_fires")), source.columns)
     return MergeResult(existing, inserted, updated.unionByName(added))
 
 
@@ -265,17 +274,16 @@ def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryR
     As every target row is judged on its own, a key's history rows take part as well
     unless ``only_current``; each expired row yields one new version.
     """
-    now, joined = clock.moment(as_of), _matched(target, source, rules)
+    now = clock.moment(as_of)
     change = differs(target, how.tracked, how.change, how.null_safe, rules.fold_case)
+    eligible = target
     if how.only_current:
-        change = (
-            (F.col("EffectiveEndTime").cast("timestamp_ntz") == clock.open_end())
-            & (F.col("IsCurrent") == 1) & change
+        is_open = (F.col("EffectiveEndTime").cast("timestamp_ntz") == clock.open_end()) & (
+            F.col("IsCurrent") == 1
         )
-    joined = joined.withColumns({
-        "_fires": _guarded(F.col("_found") & change, rules),
-        "_gone": ~F.col("_found"),
-    })
+        change, eligible = is_open & change, target.where(is_open)
+    fires = _guarded(F.col("_found") & change, rules)
+    joined = _matched(target, source, rules).withColumns({"_fires": fires, "_gone": ~F.col("_found")})
     deleted = F.when(F.col("_gone"), F.lit(1))
     if how.undelete:
         deleted = deleted.when(F.col("IsCurrent") == 1, F.lit(0))
@@ -287,7 +295,7 @@ def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryR
         MODIFIED: F.when(stamped, now).otherwise(F.col(MODIFIED)),
     })
 
-    touched = joined.where(F.col("_fires") | F.col("_gone")).select("src.*")
+    touched = _sources_where(joined, F.col("_fires") | F.col("_gone"))
     changes = _feed("UPDATE", touched, source.columns)
     new = unmatched_source(target, source, rules)
     opened = {
@@ -300,7 +308,7 @@ def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryR
     }
     first_start = now if how.first_start is None else clock.moment(how.first_start)
     first = {**opened, **{c: F.lit(None) for c in how.first_nulls}, "EffectiveStartTime": first_start}
-    next_versions = joined.where("_fires").select("src.*")
+    next_versions = _sources_where(_matched(eligible, source, rules), fires)
     inserted = _shape(new, target, first).unionByName(_shape(next_versions, target, opened))
     changes = changes.unionByName(_feed("INSERT", new, source.columns))
     return MergeResult(existing, _numbered(inserted, target, rules), changes)
@@ -314,14 +322,14 @@ def versioned(target: DataFrame, source: DataFrame, rules: KeyRules, how: Versio
     closed, rows closed before included unless ``only_open``. A new key with a NULL
     value opens no version.
     """
-    now, joined = clock.moment(as_of), _matched(target, source, rules)
+    now = clock.moment(as_of)
     kind = target.schema[how.value].dataType
     blank = F.lit(-1).cast(kind)
     old, new_value = F.coalesce(F.col(how.value), blank), F.coalesce(F.col(f"src.{how.value}").cast(kind), blank)
     is_open = F.col(how.end).isNull()
     fires = _guarded(F.col("_found") & is_open & (old != new_value), rules)
     gone = ~F.col("_found") & is_open if how.only_open else ~F.col("_found")
-    joined = joined.withColumns({"_fires": fires, "_gone": gone})
+    joined = _matched(target, source, rules).withColumns({"_fires": fires, "_gone": gone})
     closes = F.col("_fires") | F.col("_gone")
     values = {how.end: F.when(closes, now).otherwise(F.col(how.end))}
     if MODIFIED in target.columns:
@@ -332,9 +340,9 @@ def versioned(target: DataFrame, source: DataFrame, rules: KeyRules, how: Versio
     new = unmatched_source(known, source, rules).where(F.col(how.value).isNotNull())
     opened = {how.start: now, how.end: F.lit(None), **_audit(now, stamp_modified=False)}
     first = {**opened, **_audit(now, how.stamp_new)}
-    next_versions = joined.where("_fires").select("src.*")
+    next_versions = _sources_where(_matched(target.where(is_open), source, rules), fires)
     inserted = _shape(new, target, first).unionByName(_shape(next_versions, target, opened))
-    touched = joined.where(closes).select("src.*")
+    touched = _sources_where(joined, closes)
     changes = _feed("UPDATE", touched, source.columns).unionByName(
         _feed("INSERT", new, source.columns)
     )
