@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -81,4 +81,4 @@ def load_simple_fact(target: DataFrame, stage: DataFrame, metadata: Iterable[Map
     source = settle(resolve(stage, common_lookups(metadata, stage_table, keys), tables))
     if version is None:
         return insert_only(target, source, KeyRules(key), as_of, stamp_modified=False)
-    return versioned(target, source, KeyRules(key), version, as_of)
+    return versioned(target, source, KeyRules(key), replace(version, stamp_new=False), as_of)
