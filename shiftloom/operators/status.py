@@ -67,11 +67,17 @@ def status_switches(readings: DataFrame, slot_minutes: int = SLOT_MINUTES) -> Da
 
 
 def _slots(marked: DataFrame) -> DataFrame:
-    """One row per sensor and occupied slot: last switch, number of switches, number of rows."""
-    switch = F.when(F.col("_is_status"), F.struct("Time", "Value"))
-    return marked.groupBy(*SENSOR, "_slot").agg(
-        F.max(switch).alias("_last"), F.count(switch).alias("_n"), F.count(F.lit(1)).alias("_rows")
+    """One row per sensor and occupied slot: last switch, number of switches, number of rows.
+
+    All rows are only counted, in a hash aggregate; the largest (time, text) pair, which
+    Spark has to sort for, is taken over the few status rows.
+    """
+    group = [*SENSOR, "_slot"]
+    counts = marked.groupBy(*group).agg(
+        F.count(F.when(F.col("_is_status"), 1)).alias("_n"), F.count(F.lit(1)).alias("_rows")
     )
+    lasts = marked.where("_is_status").groupBy(*group).agg(F.max(F.struct("Time", "Value")).alias("_last"))
+    return counts.join(lasts, group, "left")
 
 
 def _carried(slots: DataFrame) -> DataFrame:
