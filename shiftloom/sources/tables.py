@@ -28,7 +28,7 @@ def inline_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | Struct
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local one only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         folder = tempfile.mkdtemp(prefix="shiftloom-")
         spark.sparkContext.setCheckpointDir(folder)
