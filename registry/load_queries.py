@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from shiftloom.operators import hierarchy
-from shiftloom.operators.lookups import Lookup
+from shiftloom.operators.lookups import Lookup, dimension_lookups, fact_lookups
 from shiftloom.operators.merge import KeyRules, MergeResult, VersionRules
 from shiftloom.plans import dimensions, facts, metadata, people, units
 from shiftloom.plans.dimensions import ENVIRONMENT, OPS_MEASURE, Options
@@ -321,8 +319,6 @@ DETAIL_KEY = KeyRules(("CustomerID",), duplicates="unique", surrogate="CustomerK
                   mode="always", surrogate="CustomerKey"))
 def load_dimension_type1(i: Inputs) -> DataFrame:
     """Any type-1 dimension, lookups driven by metadata rows."""
-    from shiftloom.operators.lookups import dimension_lookups
-
     specs = dimension_lookups(DETAIL_LOOKUPS, "Customer", {"Nation": "NationKey"})
     return _state(dimensions.load_dimension(
         i["customer_detail_target"], i["customer_detail"], DETAIL_KEY, AS_OF, specs,
@@ -408,8 +404,6 @@ VERSION = VersionRules("StartDate", "EndDate", "StatusCode")
                     .replace("{{", "{").replace("}}", "}"), "CustomerID", "StatusCode", ["Band", "CustomerKey"]))
 def load_fact_versioned(i: Inputs) -> DataFrame:
     """Any versioned fact, lookups driven by metadata rows."""
-    from shiftloom.operators.lookups import fact_lookups
-
     rows = [{
         "FactTableName": "Status", "FactColumnName": "CustomerKey", "StgColumnName": "CustomerID",
         "LookupTableName": "Customer", "LookupTableAliasName": "c", "LookupColumnName": "CustomerID",

@@ -127,7 +127,8 @@ state AS (SELECT * FROM existing UNION ALL BY NAME SELECT """
         body += (f"(SELECT max({surrogate}) FROM {target}) + row_number() OVER (ORDER BY "
                  f"{digest(digest_columns or keys)}) AS {surrogate}, ")
     body += "* FROM fresh)"
-    return body + f"\nSELECT {text_of([*([surrogate] if surrogate else []), *columns], ['CreatedDate', 'ModifiedDate'])} FROM state"
+    shown = [surrogate, *columns] if surrogate else columns
+    return body + f"\nSELECT {text_of(shown, ['CreatedDate', 'ModifiedDate'])} FROM state"
 
 
 def one_row_sql(name: str, keys: list[str], columns: list[str], text_key: bool) -> str:

@@ -39,7 +39,6 @@ class Lookup:
     unknown: int | None = UNKNOWN
     required: bool = False
     fold_case: bool = True
-    alias: str | None = None
     also: tuple[tuple[str, str], ...] = ()
 
 
@@ -182,7 +181,7 @@ def dimension_lookups(rows: Iterable[Mapping[str, str]], table: str,
     mine = [r for r in rows if r["DimTableName"] == table and r["LookupTableName"]]
     return [
         Lookup(r["LookupTableName"], keys.get(r["LookupTableName"], ""), r["DimColumnName"],
-               tuple(pairs), current_only=r["LookupIsSCD"] == "Yes", alias=r["LookupTableAliasName"])
+               tuple(pairs), current_only=r["LookupIsSCD"] == "Yes")
         for r, pairs in _grouped(mine, "DimColumnName")
     ]
 
@@ -201,7 +200,7 @@ def fact_lookups(rows: Iterable[Mapping[str, str]], table: str,
     for r, pairs in _grouped(mine, "FactColumnName"):
         at = r["SCDDateField"] if r["LookupIsSCD"] == "Yes" else None
         spec = Lookup(r["LookupTableName"], keys.get(r["LookupTableName"], ""), r["FactColumnName"],
-                      tuple(pairs), effective_at=at, alias=r["LookupTableAliasName"])
+                      tuple(pairs), effective_at=at)
         specs.append(spec)
     return specs
 

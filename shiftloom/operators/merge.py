@@ -28,10 +28,6 @@ AUDIT = (CREATED, MODIFIED)
 HISTORY = ("IsCurrent", "EffectiveStartTime", "EffectiveEndTime", "IsDeleted", *AUDIT)
 
 
-class DuplicateSourceError(ValueError):
-    """Raised for merge settings that contradict each other."""
-
-
 @dataclass(frozen=True)
 class KeyRules:
     """How source rows find target rows.
@@ -122,7 +118,7 @@ def _key_names(rules: KeyRules, mark: str) -> list[str]:
 def one_row_per_key(source: DataFrame, rules: KeyRules) -> DataFrame:
     """Source packed into ``src``, one row per key, with the number of rows behind it."""
     if rules.duplicates not in ("raise", "first", "unique"):
-        raise DuplicateSourceError(f"unknown duplicates rule {rules.duplicates!r}")
+        raise ValueError(f"unknown duplicates rule {rules.duplicates!r}")
     packed = F.struct(*[F.col(c) for c in source.columns])
     names = _key_names(rules, "s")
     keyed = _with_keys(source, rules, "s").select(*names, packed.alias("src"))

@@ -60,7 +60,8 @@ def reading(hour, minute, value="2", day=1, month=1):
 
 def test_load_summary(spark, dims):
     empty = spark.createDataFrame([], TARGET)
-    stage = spark.createDataFrame([reading(6, 1), reading(6, 2, "4"), reading(19, 0), reading(7, 0, "x", day=2)], READINGS)
+    first = [reading(6, 1), reading(6, 2, "4"), reading(19, 0), reading(7, 0, "x", day=2)]
+    stage = spark.createDataFrame(first, READINGS)
     loaded = load_summary(empty, stage, dims, CURRENT_SHIFT, NOW)
     columns = ["ReportingDateKey", "ReportingTimeKey", "LocationKey", "CrewKey", "ShiftEndDateKey",
                "ShiftTimeKey", "AverageMinute", "CumulativeTotalMinute"]
