@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import langid, simhash
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": lambda spark, folder: langid.report(table(spark, folder, "documents")),
     "op7_simhash": lambda spark, folder: simhash.report(table(spark, folder, "documents")),
 }
 
