@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, simhash, templates
+from . import decontaminate, langid, simhash, templates
 from .texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_templates": lambda spark, folder: templates.report(table(spark, folder, "documents")),
     "op4_language_id": lambda spark, folder: langid.report(table(spark, folder, "documents")),
     "op7_simhash": lambda spark, folder: simhash.report(table(spark, folder, "documents")),
+    "op9_decontamination": lambda spark, folder: decontaminate.report(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    ),
 }
 
 SQL: dict[str, str] = {
     "op3_line_templates": templates.SQL,
+    "op9_decontamination": decontaminate.SQL,
 }
