@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, simhash, templates
+from . import bpe, decontaminate, langid, simhash, templates
 from .texts import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": lambda spark, folder: bpe.encode(
+        spark, table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, with_ids=False
+    ),
     "op3_line_templates": lambda spark, folder: templates.report(table(spark, folder, "documents")),
     "op4_language_id": lambda spark, folder: langid.report(table(spark, folder, "documents")),
     "op7_simhash": lambda spark, folder: simhash.report(table(spark, folder, "documents")),
