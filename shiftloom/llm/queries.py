@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, simhash, templates
+from . import bpe, chunks, decontaminate, langid, simhash, suffixes, templates
 from .texts import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -18,10 +18,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op3_line_templates": lambda spark, folder: templates.report(table(spark, folder, "documents")),
     "op4_language_id": lambda spark, folder: langid.report(table(spark, folder, "documents")),
+    "op5_substring_dedup": lambda spark, folder: chunks.report(table(spark, folder, "documents")),
     "op7_simhash": lambda spark, folder: simhash.report(table(spark, folder, "documents")),
     "op9_decontamination": lambda spark, folder: decontaminate.report(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     ),
+    "op10_suffix_dedup": lambda spark, folder: suffixes.report(table(spark, folder, "documents")),
 }
 
 SQL: dict[str, str] = {
