@@ -25,38 +25,61 @@ def _variable(token: Column) -> Column:
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
-    """One row per line, with its place and its tokens."""
+    """One row per line to judge, with its place, its tokens between single blanks, and their count."""
     lines = docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    tokens = F.split(F.trim(F.col("content"), F.lit(BLANKS)), "[ \\t\\r\\f\\x0B]+")
-    return lines.select("row", "doc_id", "line", tokens.alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
+    content = F.col("content")
+    # The costly pattern is applied only to lines with anything but single spaces between tokens.
+    odd = content.startswith(" ") | content.endswith(" ") | content.contains("  ")
+    for blank in BLANKS[1:]:
+        odd |= content.contains(blank)
+    spaced = F.when(odd, F.trim(F.regexp_replace(content, "[ \\t\\r\\f\\x0B]+", " "))).otherwise(content)
+    lines = lines.select("row", "doc_id", "line", spaced.alias("content"))
+    blanks = F.octet_length("content") - F.octet_length(F.replace("content", F.lit(" "), F.lit("")))
+    return lines.withColumn("n", blanks + 1).where(F.col("n") >= MIN_TOKENS)
+
+
+def _masked(text: Column) -> Column:
+    return F.transform(F.split(text, " "), _variable)
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """``row`` and ``line`` of the lines to drop from ``docs`` (doc_id, text, row)."""
+    """``row`` and ``line`` of the lines to drop from ``docs`` (doc_id, text, row).
+
+    Equal lines are known by a digest of 128 bits, leaves by their count and a hash of 64 bits.
+    """
     lines = split_lines(docs)
-    lead = F.transform(F.slice("tokens", 1, DEPTH), _variable)
-    lines = lines.withColumn("branch", F.xxhash64(F.size("tokens"), lead))
+    lead = F.substring_index("content", " ", DEPTH)
+    lines = lines.withColumn("branch", F.xxhash64("n", _masked(lead)))
     # Only branches that lines of two documents share go on. The list is written, so Spark knows
     # its size and sends it to all tasks only if it is small.
     shared = settle(
-        lines.groupBy("branch").agg(F.count("*").alias("n"), F.min("row").alias("a"), F.max("row").alias("b"))
-        .where((F.col("n") >= MIN_DOCS) & (F.col("a") < F.col("b"))).select("branch")
+        lines.groupBy("branch").agg(F.count("*").alias("all"), F.min("row").alias("a"), F.max("row").alias("b"))
+        .where((F.col("all") >= MIN_DOCS) & (F.col("a") < F.col("b"))).select("branch")
     )
-    masked = F.transform("tokens", _variable)
-    found = settle(lines.join(shared, "branch", "left_semi").select("row", "doc_id", "line", F.array_join(masked, " ").alias("masked")))
-
-    distinct = found.select("masked", "row").distinct().groupBy("masked").agg(F.count("*").alias("docs"))
+    found = lines.join(shared, "branch", "left_semi").withColumn("masked", F.array_join(_masked(F.col("content")), " "))
+    found = settle(found.select("row", "doc_id", "line", "n", "branch", "masked", F.unhex(F.md5("masked")).alias("key")))
+
+    docs_of = found.select("key", "row").distinct().groupBy("key").agg(F.count("*").alias("docs"))
+    kinds = found.groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("n", "branch", "masked")])
+    kinds = settle(kinds.join(docs_of, "key"))
+    leaves = kinds.groupBy("n", "branch").agg(F.count("*").alias("kinds"), F.sum("docs").alias("lines"))
+    # A leaf of one kind of line has nothing to generalise: its template is the line.
+    alone = leaves.where((F.col("kinds") == 1) & (F.col("lines") >= MIN_DOCS))
+    mixed = leaves.where((F.col("kinds") > 1) & (F.col("lines") >= MIN_DOCS))
     tokens = F.split("masked", " ")
-    leaf = F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, DEPTH))
-    places = distinct.select("masked", "docs", leaf.alias("leaf"), F.posexplode(tokens).alias("place", "token"))
-    support = places.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("support"))
+    known = kinds.join(alone, ["n", "branch"], "left_semi").withColumn("fixed", F.size(F.filter(tokens, lambda t: t != FIELD)))
+    places = kinds.join(mixed, ["n", "branch"], "left_semi").select(
+        "key", "n", "branch", "docs", F.posexplode(tokens).alias("place", "token")
+    )
+    support = places.groupBy("n", "branch", "place", "token").agg(F.sum("docs").alias("support"))
     fixed = (F.col("support") >= MIN_DOCS) & (F.col("token") != FIELD)
-    shown = places.join(support, ["leaf", "place", "token"]).groupBy("masked").agg(
+    shown = places.join(support, ["n", "branch", "place", "token"]).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("place", F.when(fixed, F.col("token")).otherwise(FIELD).alias("token")))).alias("parts"),
-        F.count("*").alias("n"), F.count_if(fixed).alias("fixed"),
-    )
-    templates = shown.where(F.col("fixed") * 2 >= F.col("n")).select("masked", F.array_join("parts.token", " ").alias("template"))
-    placed = found.join(templates, "masked").select("template", "row", "line", F.col("doc_id").isNull().alias("none"), "doc_id")
+        F.any_value("n").alias("n"), F.count_if(fixed).alias("fixed"),
+    ).withColumn("masked", F.array_join("parts.token", " "))
+    templates = known.select("key", "n", "fixed", "masked").unionByName(shown.select("key", "n", "fixed", "masked"))
+    templates = templates.where(F.col("fixed") * 2 >= F.col("n")).select("key", F.unhex(F.md5("masked")).alias("template"))
+    placed = found.join(templates, "key").select("template", "row", "line", F.col("doc_id").isNull().alias("none"), "doc_id")
     often = placed.select("template", "row").distinct().groupBy("template").agg(F.count("*").alias("docs"))
     place = F.struct("none", "doc_id", "row", "line")
     first = placed.groupBy("template").agg(F.min(place).alias("first"))
