@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chunks, decontaminate, imatch, langid, licenses, simhash, suffixes, templates
+from . import bpe, chunks, decontaminate, imatch, langid, licenses, lm, simhash, suffixes, templates
 from .texts import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_templates": lambda spark, folder: templates.report(table(spark, folder, "documents")),
     "op4_language_id": lambda spark, folder: langid.report(table(spark, folder, "documents")),
     "op5_substring_dedup": lambda spark, folder: chunks.report(table(spark, folder, "documents")),
+    "op6_lm_score": lambda spark, folder: lm.report(
+        spark, table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY)
+    ),
     "op7_simhash": lambda spark, folder: simhash.report(table(spark, folder, "documents")),
     "op8_license_scan": lambda spark, folder: licenses.report(table(spark, folder, "documents")),
     "op9_decontamination": lambda spark, folder: decontaminate.report(
