@@ -129,6 +129,14 @@ def _byte_table(table: list[bytes]) -> pa.Array:
     return pa.array(table, pa.large_binary())
 
 
+def word_lengths(gathered: list) -> np.ndarray:
+    """How many ids the answers of a block give to each of its words."""
+    out = np.zeros(1 + max((int(own[-1]) for own, _, _ in gathered if len(own)), default=-1), np.int64)
+    for own, payload, _ in gathered:
+        out[own] = np.diff(blocks.unpack_ragged(payload)[0]) // 4
+    return out
+
+
 def documents_of(gathered: list, docs: list[dict], numbers: np.ndarray) -> Iterator[tuple[dict, np.ndarray]]:
     """Each document with its ids: the ids of its words in the order of their places."""
     size = 1 + max((int(own[-1]) for own, _, _ in gathered if len(own)), default=-1)
