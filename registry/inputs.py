@@ -229,7 +229,16 @@ INPUTS["reason_stage"] = """
 SELECT ID AS ReasonID, Code AS ReasonCode, ParentCode AS ReasonCodeParent,
        CASE WHEN Level = 4 THEN 'PLANT' ELSE 'Plant' END AS ReasonHierarchy, Name AS ReasonName,
        coalesce(Segment, 'Availability') AS OeeCategory, Path AS ReasonPath
-FROM {tree}"""
+FROM {tree}
+UNION ALL
+SELECT CAST(50000000 + s_suppkey AS INT), concat('D', CAST(s_suppkey AS STRING)),
+       CASE WHEN s_suppkey % 50 = 20 THEN concat('d', CAST(s_suppkey + 1 AS STRING))
+            WHEN s_suppkey % 13 = 1 THEN concat('N', CAST(s_nationkey AS STRING))
+            ELSE concat('D', CAST(s_suppkey - 1 AS STRING)) END,
+       'plant', concat('deep ', s_name), 'Availability',
+       concat(repeat(concat('x', chr(92)), CAST(CASE WHEN s_nationkey < 12 THEN 2 + s_suppkey % 13
+                                                ELSE 2 + s_suppkey % 4 END AS INT)), s_name)
+FROM {supplier}"""
 INPUTS["reason_target"] = """
 SELECT CAST(ID AS BIGINT) * 2 AS ReasonKey, ID AS ReasonID, 'Plant' AS ReasonHierarchy,
        Name AS ReasonName, CAST(CASE WHEN Level = 2 THEN ParentID * 2 END AS BIGINT) AS ReasonParentKey,

@@ -141,10 +141,12 @@ def one_row_per_customer(i: Inputs) -> DataFrame:
 
 
 INPUTS["customer_partition_target"] = """
-SELECT CustomerID, Yr, Priority, Status, Band, FromTime AS CreatedDate, FromTime AS ModifiedDate
+SELECT CustomerID, nullif(Yr, 1996) AS Yr, Priority, Status, Band, FromTime AS CreatedDate,
+       FromTime AS ModifiedDate
 FROM {customer_spans}"""
 INPUTS["customer_partition_stage"] = """
-SELECT CustomerID, Yr, 'corrected' AS Priority, Status, Band FROM {profile} WHERE Yr >= 1999"""
+SELECT CustomerID, CASE WHEN Band > 2 THEN NULL ELSE Yr END AS Yr, 'corrected' AS Priority, Status, Band
+FROM {profile} WHERE Yr >= 1999"""
 
 
 @query(sql.upsert("{customer_partition_target}", "SELECT * FROM {customer_partition_stage}",
@@ -155,14 +157,16 @@ def sink_cycle(i: Inputs) -> DataFrame:
     fact, stage = f"{base}/fact", f"{base}/stage"
     tables.append(i["customer_partition_target"], fact, ("Yr",))
     tables.reload(i["customer_partition_stage"], stage)
-    source, target = tables.read_table(i.spark, stage), tables.read_table(i.spark, fact)
-    touched = tables.touched_partitions(target, source, ["Yr"])
+    source = tables.read_table(i.spark, stage)
     keys = KeyRules(("CustomerID", "Yr"), duplicates="unique")
-    merged = upsert(touched, source, keys, AS_OF, update=("Priority",))
-    tables.replace_partitions(merged.state, fact, ["Yr"])
+    tables.merge_partitions(
+        fact, source, ["Yr"], lambda touched: upsert(touched, source, keys, AS_OF, update=("Priority",)).state
+    )
     tables.clear(i.spark, stage)
     state = i.spark.read.parquet(fact).unionByName(
         i.spark.read.parquet(stage).select("*", *[F.lit(None).cast("timestamp_ntz").alias(c)
                                                   for c in ("CreatedDate", "ModifiedDate")]))
-    published = tables.publish(state, f"{base}/published", "v1")
-    return shown(published)
+    table = f"published_{tables.new_name()}"
+    tables.publish(state.limit(1), f"{base}/published", "v1", table)
+    tables.publish(state, f"{base}/published", "v2", table)
+    return shown(i.spark.table(table))

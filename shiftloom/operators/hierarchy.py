@@ -3,38 +3,52 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
+from ..sources.tables import settle
 
 NAMED_LEVELS = 10
+_HOPS = 4
 
 
 def with_parent_id(rows: DataFrame) -> DataFrame:
-    """Reasons with their path depth as ``Level`` and their parent's ID within the same hierarchy."""
+    """Reasons with their path depth as ``Level`` and their parent's ID within the same hierarchy.
+
+    A code that a hierarchy has twice fails the job once it is anyone's parent, and so does an
+    ID that occurs twice: each row keeps one parent.
+    """
     child = rows.select(
         "ReasonID", "ReasonCode", "ReasonHierarchy", "ReasonName", "OeeCategory",
         F.col("ReasonCodeParent").alias("_parent_code"),
         text.path_depth(F.col("ReasonPath")).alias("Level"),
     )
-    parent = rows.select(
-        F.col("ReasonID").alias("ReasonParentID"),
-        F.col("ReasonCode").alias("_code"), F.col("ReasonHierarchy").alias("_hierarchy"),
+    repeated = rows.where(F.col("ReasonID").isNotNull()).groupBy("ReasonID").agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = repeated.where(F.col("_rows") > 1).select(F.col("ReasonID").alias("_repeated"))
+    parent = rows.groupBy(
+        text.fold(F.col("ReasonCode")).alias("_code"), text.fold(F.col("ReasonHierarchy")).alias("_hierarchy")
+    ).agg(F.min("ReasonID").alias("ReasonParentID"), F.count(F.lit(1)).alias("_parents"))
+    same = (text.fold(F.col("_parent_code")) == F.col("_code")) & (
+        text.fold(F.col("ReasonHierarchy")) == F.col("_hierarchy")
     )
-    same = (text.fold(F.col("_parent_code")) == text.fold(F.col("_code"))) & (
-        text.fold(F.col("ReasonHierarchy")) == text.fold(F.col("_hierarchy"))
+    joined = child.join(parent, same, "left").join(repeated, F.col("ReasonID") == F.col("_repeated"), "left")
+    error = F.raise_error(F.lit("a reason code or ID occurs twice"))
+    own = F.when((F.col("_parents") > 1) | F.col("_repeated").isNotNull(), error.cast(rows.schema["ReasonID"].dataType))
+    return joined.withColumn("ReasonParentID", own.otherwise(F.col("ReasonParentID"))).select(
+        *[c for c in child.columns if c != "_parent_code"], "ReasonParentID"
     )
-    return child.join(parent, same, "left").drop("_parent_code", "_code", "_hierarchy")
 
 
-def flatten(rows: DataFrame, max_depth: int = NAMED_LEVELS) -> DataFrame:
+def flatten(rows: DataFrame) -> DataFrame:
     """Level1Name to Level10Name of every row that hangs below a ``Level`` 1 row.
 
-    Each row climbs to its ancestors, one join per step, all on the parent's unique
-    ID; a slot takes the name of the nearest row at that level. Rows that reach no
-    root, cycles among them, do not appear. A row deeper than the climb reaches fails
-    the job instead of getting lost. ``rows`` are read once per step.
+    Each row climbs to its ancestors, one join per step, all on the parent's unique ID; a slot
+    takes the name of the nearest row at that level. The climb ends when no row has an open
+    parent, however long the longest chain is; a row that meets an ancestor twice stops there.
+    Rows that reach no root, orphans and cycles among them, do not appear. Only rows that still
+    climb are joined, and every few steps they are written, so that the plan stays short.
     """
 
     def name_at(number: int) -> Column:
@@ -48,24 +62,29 @@ def flatten(rows: DataFrame, max_depth: int = NAMED_LEVELS) -> DataFrame:
         F.col("ReasonID").alias("_id"), F.col("ReasonParentID").alias("_up"),
         F.col("Level").alias("_level"), step_of("Level", "ReasonName").alias("_step"),
     )
-    climbed = rows.withColumns({
-        "_steps": F.array(step_of("Level", "ReasonName")),
-        "_rooted": F.col("Level") == 1,
+    started = rows.withColumns({
+        "_steps": F.array(step_of("Level", "ReasonName")), "_seen": F.array("ReasonID"),
         "_next": F.when(F.col("Level") != 1, F.col("ReasonParentID")),
     })
-    for _ in range(max_depth - 1):
-        met = F.col("_id").isNotNull()
-        at_root = F.coalesce(F.col("_level") == 1, F.lit(False))
-        climbed = climbed.join(nodes, F.col("_next") == F.col("_id"), "left").withColumns({
-            "_steps": F.when(met, F.array_append("_steps", F.col("_step"))).otherwise(F.col("_steps")),
-            "_rooted": F.col("_rooted") | at_root,
-            "_next": F.when(~at_root, F.col("_up")),
-        }).drop("_id", "_up", "_level", "_step")
-    too_deep = F.col("_next").isNotNull() & (F.col("Level") > max_depth)
-    error = F.raise_error(F.lit("hierarchy deeper than max_depth")).cast("boolean")
-    kept = climbed.where(F.when(too_deep, error).otherwise(F.col("_rooted")))
+    finished = [started.where(F.col("Level") == 1)]
+    climbing = started.where(F.col("_next").isNotNull())
+    while not climbing.isEmpty():
+        step = climbing.withColumn("_rooted", F.lit(False))
+        for _ in range(_HOPS):
+            new = F.col("_id").isNotNull() & ~F.array_contains("_seen", F.col("_id"))
+            at_root = F.coalesce(F.col("_level") == 1, F.lit(False))
+            step = step.join(nodes, F.col("_next") == F.col("_id"), "left").withColumns({
+                "_steps": F.when(new, F.array_append("_steps", F.col("_step"))).otherwise(F.col("_steps")),
+                "_seen": F.when(new, F.array_append("_seen", F.col("_id"))).otherwise(F.col("_seen")),
+                "_rooted": F.col("_rooted") | (new & at_root),
+                "_next": F.when(new & ~at_root, F.col("_up")),
+            }).drop("_id", "_up", "_level", "_step")
+        step = settle(step)
+        finished.append(step.where("_rooted").drop("_rooted"))
+        climbing = step.where(F.col("_next").isNotNull()).drop("_rooted")
+    climbed = reduce(DataFrame.unionByName, finished)
     slots = {f"Level{n}Name": name_at(n) for n in range(1, NAMED_LEVELS + 1)}
-    return kept.withColumns(slots).drop("_rooted", "_next", "_steps", "ReasonCode")
+    return climbed.withColumns(slots).drop("_next", "_steps", "_seen", "ReasonCode")
 
 
 def level_names(levels: Mapping[str, tuple[int, tuple[str, ...]]]) -> dict[str, Column]:

@@ -112,12 +112,12 @@ def measure_source(stage: DataFrame, dimension: DataFrame, tree: TreeDimension)
     )
 
 
-def flat_reasons(stage: DataFrame, max_depth: int = hierarchy.NAMED_LEVELS) -> DataFrame:
+def flat_reasons(stage: DataFrame) -> DataFrame:
     """Reasons with the names of all their levels and their parent's ID.
 
     Written once before the climb, which reads them at every step.
     """
-    return hierarchy.flatten(settle(hierarchy.with_parent_id(stage)), max_depth)
+    return hierarchy.flatten(settle(hierarchy.with_parent_id(stage)))
 
 
 def reason_source(flat: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -154,10 +154,10 @@ def load_measures(target: DataFrame, stage: DataFrame, tree: TreeDimension, as_o
     return _load_tree(target, source, stage, tree, as_of, options, None)
 
 
-def load_reasons(target: DataFrame, stage: DataFrame, as_of: datetime, options: Options = STRICT,
-                 max_depth: int = hierarchy.NAMED_LEVELS) -> MergeResult:
+def load_reasons(target: DataFrame, stage: DataFrame, as_of: datetime,
+                 options: Options = STRICT) -> MergeResult:
     """Reason dimension."""
-    flat = settle(flat_reasons(stage, max_depth))
+    flat = settle(flat_reasons(stage))
     return _load_tree(target, reason_source(flat, target), flat, REASON, as_of, options, FIRST_START)
 
 

@@ -7,11 +7,12 @@ which Spark stages and moves into place at commit.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,11 +28,10 @@ def inline_rows(spark: SparkSession, rows: Iterable[tuple], schema: str | Struct
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where the session names none."""
+    """The cluster's checkpoint folder, which the driver and all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="shiftloom-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder
 
 
@@ -61,23 +61,31 @@ def reload(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def publish(state: DataFrame, base: str, version: str, view: str | None = None) -> DataFrame:
-    """Write a merged state to its own version folder and point ``view`` at it.
+def publish(state: DataFrame, base: str, version: str, table: str | None = None) -> DataFrame:
+    """Write a merged state to its own version folder and let the catalog ``table`` point at it.
 
-    Readers of the previous version keep their files; a version is written once.
+    Readers of the previous version keep their files; a version is written once. The table is an
+    external one whose location moves after the write, so every session that shares the catalog
+    sees the new state, and a failed write leaves the old one in place.
     """
     path = f"{base.rstrip('/')}/{version}"
+    spark = state.sparkSession
     state.write.mode("errorifexists").parquet(path)
-    stored = state.sparkSession.read.parquet(path)
-    if view is not None:
-        stored.createOrReplaceTempView(view)
-    return stored
+    if table is None:
+        return spark.read.parquet(path)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=path, source="parquet")
+    return spark.table(table)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
-    """The target rows in partitions that ``source`` also has; the others need no rewrite."""
-    wanted = source.select(*columns).distinct()
-    return target.join(wanted, columns, "left_semi")
+    """The target rows in partitions that ``source`` also has, the one of NULL included."""
+    wanted = source.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(columns)]).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(columns)])
+    return target.join(wanted, same, "left_semi")
 
 
 def replace_partitions(rows: DataFrame, path: str, columns: list[str]) -> None:
@@ -95,6 +103,27 @@ def replace_partitions(rows: DataFrame, path: str, columns: list[str]) -> None:
     )
 
 
+def merge_partitions(path: str, source: DataFrame, columns: list[str], merge) -> None:
+    """Merge ``source`` into the partitioned table at ``path``, of which only touched partitions are read and written.
+
+    ``merge`` gets those rows of the target and gives the rows that replace them. Rows gone from
+    the source are not looked for in partitions that the source does not have.
+    """
+    target = source.sparkSession.read.parquet(path)
+    replace_partitions(merge(touched_partitions(target, source, columns)), path, columns)
+
+
+def forget_settled(spark: SparkSession, *settled: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    root = f"{shared_folder(spark)}/settled/"
+    for rows in settled:
+        for path in {file.rsplit("/", 1)[0] for file in rows.inputFiles()}:
+            if "/settled/" not in path:
+                raise ValueError(f"{path} is not a settled table under {root}")
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def clear(spark: SparkSession, path: str) -> None:
     """Leave an empty table with the same columns. Call it after the load has been written."""
     schema = spark.read.parquet(path).schema

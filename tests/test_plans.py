@@ -25,10 +25,22 @@ def test_flatten_below_the_named_levels(spark):
     names = [chr(97 + n) for n in range(12)]
     rows = [(n, names[n], names[n - 1] if n else None, "H", names[n], "o", "\\".join(names[:n + 1])) for n in range(12)]
     chain = hierarchy.with_parent_id(spark.createDataFrame(rows, REASON))
-    deep = {r.ReasonID: r for r in hierarchy.flatten(chain, max_depth=12).collect()}
+    deep = {r.ReasonID: r for r in hierarchy.flatten(chain).collect()}
     assert len(deep) == 12 and deep[11].Level10Name == "j" and deep[11].Level == 12
-    with pytest.raises(PySparkException, match="max_depth"):
-        hierarchy.flatten(chain).collect()
+
+
+def test_flatten_follows_parents_whatever_the_path_depth(spark):
+    rows = [(n, f"c{n}", f"c{n - 1}" if n else None, "H", f"n{n}", "o", "r" if n == 0 else f"x\\{n}") for n in range(14)]
+    found = {r.ReasonID: r for r in hierarchy.flatten(hierarchy.with_parent_id(spark.createDataFrame(rows, REASON))).collect()}
+    assert sorted(found) == list(range(14))
+    assert all(found[n].Level1Name == "n0" and found[n].Level2Name == f"n{n}" for n in range(1, 14))
+
+
+@pytest.mark.parametrize("twice", [(3, "A", None, "h", "A2", "o", "A"), (2, "c", None, "H", "C", "o", "C")])
+def test_repeated_codes_and_ids_fail(spark, twice):
+    rows = [(1, "a", None, "H", "A", "o", "A"), (2, "b", "a", "H", "B", "o", "A\\B"), twice]
+    with pytest.raises(PySparkException, match="occurs twice"):
+        hierarchy.with_parent_id(spark.createDataFrame(rows, REASON)).collect()
 
 
 def test_parent_key_refuses_two_current_rows(spark):
@@ -75,7 +87,38 @@ def test_sinks(spark, tmp_path):
     tables.reload(rows, f"{base}/s")
     tables.clear(spark, f"{base}/s")
     assert tables.read_table(spark, f"{base}/s").schema == rows.schema and spark.read.parquet(f"{base}/s").count() == 0
-    published = tables.publish(rows, f"{base}/p", "v1", view="published")
-    assert published.count() == 2 and tables.read_table(spark, "published").count() == 2
+    name = f"published_{tables.new_name()}"
+    assert tables.publish(rows, f"{base}/p", "v1", name).count() == 2
+    tables.publish(rows.where("v = 1"), f"{base}/p", "v2", name)
+    assert spark.newSession().table(name).count() == 1 and spark.read.parquet(f"{base}/p/v1").count() == 2
     with pytest.raises(PySparkException):
-        tables.publish(rows, f"{base}/p", "v1")
+        tables.publish(rows, f"{base}/p", "v1", name)
+
+
+def test_null_partitions_are_merged(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "v int, part string"
+    tables.append(spark.createDataFrame([(1, None), (2, "a"), (3, "b")], schema), path, ("part",))
+    source = spark.createDataFrame([(4, None), (5, "a")], schema)
+    tables.merge_partitions(path, source, ["part"], lambda rows: rows.unionByName(source))
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_settled_tables(spark):
+    settled = tables.settle(spark.range(5))
+    files = settled.inputFiles()
+    tables.forget_settled(spark, settled)
+    with pytest.raises(PySparkException):
+        spark.read.parquet(files[0].rsplit("/", 1)[0]).count()
+
+
+def test_a_shared_folder_is_asked_for():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"getCheckpointDir": lambda self: None})()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        tables.shared_folder(Session())
