@@ -100,9 +100,10 @@ FROM {lineitem} WHERE l_shipdate < CAST('1999-01-01 00:00:00' AS NTZ)"""
 
 # --- sensor readings --------------------------------------------------------------------------
 INPUTS["readings"] = """
-SELECT concat('EA-', CAST(user_id AS STRING)) AS ElementAttributeID, ts AS Time,
-       concat('EL-', CAST(user_id AS STRING)) AS ElementID,
-       CASE event_type WHEN 'view' THEN 'Feed Level' WHEN 'click' THEN 'Flow Rate'
+SELECT concat(CASE WHEN event_id % 7 = 0 THEN 'ea-' ELSE 'EA-' END, CAST(user_id AS STRING)) AS ElementAttributeID,
+       ts AS Time,
+       concat(CASE WHEN event_id % 5 = 0 THEN 'el-' ELSE 'EL-' END, CAST(user_id AS STRING)) AS ElementID,
+       CASE event_type WHEN 'view' THEN CASE WHEN event_id % 3 = 0 THEN 'FEED level' ELSE 'Feed Level' END WHEN 'click' THEN 'Flow Rate'
             WHEN 'purchase' THEN CASE WHEN value > 30 THEN 'Pump Mode' ELSE 'Conditioning pH' END
             ELSE 'Running' END AS Attribute,
        CASE WHEN event_type = 'error' THEN 'Off' WHEN event_type = 'signup' THEN 'ON'
@@ -110,8 +111,8 @@ SELECT concat('EA-', CAST(user_id AS STRING)) AS ElementAttributeID, ts AS Time,
             WHEN value > 50 THEN NULL ELSE CAST(value AS STRING) END AS Value,
        CASE WHEN event_type IN ('error', 'signup') THEN 'Unit Run Status'
             WHEN event_type = 'click' AND value > 45 THEN NULL ELSE 'Process' END AS CategoryName,
-       CAST('2024-01-01 06:00:00' AS NTZ) AS ShiftStartTime,
-       CAST('2024-01-30 18:00:00' AS NTZ) AS ShiftEndTime
+       CAST('2024-01-01 06:00:00' AS NTZ) - INTERVAL 1 HOUR * CAST(event_id % 5 AS INT) AS ShiftStartTime,
+       CAST('2024-01-30 18:00:00' AS NTZ) - INTERVAL 1 HOUR * CAST(event_id % 11 AS INT) AS ShiftEndTime
 FROM {events}"""
 INPUTS["elements"] = """
 SELECT DISTINCT e.user_id AS Element, n.n_name AS Nation, r.r_name AS Region

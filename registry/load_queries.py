@@ -131,28 +131,20 @@ def reason_parents(i: Inputs) -> DataFrame:
 
 
 SLOTS = [f"Level{n}Name" for n in range(1, 11)]
-FLAT = f"""
-SELECT ReasonID, ReasonHierarchy, ReasonName, ReasonParentID, OeeCategory, {', '.join(SLOTS)}, Level FROM tree"""
-
-
-def flat_sql(after: str) -> str:
-    """Flattening by recursion from the roots down."""
-    later = ", ".join(f"CAST(NULL AS VARCHAR) AS Level{n}Name" for n in range(2, 11))
-    steps = ", ".join(f"CASE WHEN p.Level = {n} THEN p.ReasonName ELSE h.Level{n}Name END"
-                      for n in range(2, 11))
-    return f"""
-SELECT * FROM (
-WITH RECURSIVE tree AS (
-  SELECT ReasonID, ReasonHierarchy, ReasonName, ReasonParentID, OeeCategory, ReasonName AS Level1Name,
-         {later}, Level FROM {{reason_parent_rows}} WHERE Level = 1
-  UNION ALL
-  SELECT p.ReasonID, p.ReasonHierarchy, p.ReasonName, p.ReasonParentID, p.OeeCategory, h.Level1Name,
-         {steps}, p.Level
-  FROM {{reason_parent_rows}} p JOIN tree h ON h.ReasonID = p.ReasonParentID)
-{FLAT}) flat {after}"""
-
-
-ORACLE_ONLY["flat_reasons"] = flat_sql("")
+# Every row walks up to its root; what it meets on the way is then placed by level.
+ORACLE_ONLY["flat_reasons"] = f"""
+SELECT r.ReasonID, r.ReasonHierarchy, r.ReasonName, r.ReasonParentID, r.OeeCategory,
+       {", ".join(f"w.L[{n}] AS Level{n}Name" for n in range(1, 11))}, r.Level
+FROM {{reason_parent_rows}} r JOIN (
+  WITH RECURSIVE walk AS (
+    SELECT ReasonID AS Leaf, ReasonParentID AS Up, Level, ReasonName AS Name, [ReasonID] AS Met
+    FROM {{reason_parent_rows}}
+    UNION ALL
+    SELECT k.Leaf, a.ReasonParentID, a.Level, a.ReasonName, list_append(k.Met, a.ReasonID)
+    FROM walk k, {{reason_parent_rows}} a
+    WHERE k.Level <> 1 AND a.ReasonID = k.Up AND NOT list_contains(k.Met, a.ReasonID))
+  SELECT Leaf, [{", ".join(f"arg_min(Name, len(Met)) FILTER (Level = {n})" for n in range(1, 11))}] AS L
+  FROM walk GROUP BY Leaf HAVING bool_or(Level = 1)) w ON w.Leaf = r.ReasonID"""
 
 
 @query("SELECT * FROM {flat_reasons}")
@@ -240,24 +232,34 @@ def load_ops_measures(i: Inputs) -> DataFrame:
 
 # --- people -----------------------------------------------------------------------------------
 PERSON_COLUMNS = people.COLUMNS
+# An operator's records are compared as one sort key; all with the best key are taken.
 BEST = """
+WITH records AS (
+  SELECT d.OperatorID, d.FirstName, d.LastName, if(d.IsActive = 1, 'ACTIVE', 'INACTIVE') AS Status,
+         d.DateAdded, h.* EXCLUDE (FirstName, LastName, Status)
+  FROM {operator_stage} d LEFT JOIN {person_stage} h
+    ON lower(concat_ws(chr(9), d.FirstName, d.LastName)) = lower(concat_ws(chr(9), h.FirstName, h.LastName))
+), best AS (
+  SELECT lower(OperatorID) AS id, first({'s': Status, 'd': DateAdded, 'u': PersonUID}
+         ORDER BY Status, DateAdded NULLS FIRST, PersonUID DESC NULLS LAST) AS top
+  FROM records GROUP BY 1
+)
 SELECT PersonUID, PersonID, OperatorID, CAST(NULL AS VARCHAR) AS OISOperatorAlias, FirstName, LastName,
        DisplayName, Department, Title, Supervisor, Status
-FROM (SELECT h.PersonUID, h.PersonID, d.OperatorID, d.FirstName, d.LastName, h.DisplayName, h.Department,
-             h.Title, h.Supervisor, CASE WHEN d.IsActive = 1 THEN 'ACTIVE' ELSE 'INACTIVE' END AS Status,
-             rank() OVER (PARTITION BY d.OperatorID
-                          ORDER BY CASE WHEN d.IsActive = 1 THEN 'ACTIVE' ELSE 'INACTIVE' END,
-                                   d.DateAdded NULLS FIRST, h.PersonUID DESC NULLS LAST) AS rk
-      FROM {operator_stage} d LEFT JOIN {person_stage} h
-        ON lower(d.FirstName) = lower(h.FirstName) AND lower(d.LastName) = lower(h.LastName)) x
-WHERE rk = 1"""
+FROM records JOIN best ON lower(OperatorID) = id
+WHERE {'s': Status, 'd': DateAdded, 'u': PersonUID} IS NOT DISTINCT FROM top"""
+# Aliases with a person, then those without.
 ALIASED = """
-SELECT h.PersonUID, o.PersonID, CAST(NULL AS VARCHAR) AS OperatorID, o.OISOperatorAlias, h.FirstName,
-       h.LastName, h.DisplayName, h.Department, h.Title, h.Supervisor,
-       coalesce(h.Status, 'ACTIVE') AS Status
-FROM (SELECT right(Operator, length(Operator) - instr(Operator, chr(92))) AS PersonID,
-             Operator AS OISOperatorAlias FROM {alias_stage}) o
-LEFT JOIN {person_stage} h ON lower(o.PersonID) = lower(h.PersonID)"""
+SELECT * FROM (
+  WITH named AS (
+    SELECT Operator AS OISOperatorAlias, regexp_replace(Operator, '^[^\\\\]*\\\\', '') AS id FROM {alias_stage}
+  )
+  SELECT h.PersonUID, n.id AS PersonID, CAST(NULL AS VARCHAR) AS OperatorID, n.OISOperatorAlias, h.FirstName,
+         h.LastName, h.DisplayName, h.Department, h.Title, h.Supervisor, ifnull(h.Status, 'ACTIVE') AS Status
+  FROM named n, {person_stage} h WHERE lower(h.PersonID) = lower(n.id)
+  UNION ALL
+  SELECT NULL, id, NULL, OISOperatorAlias, NULL, NULL, NULL, NULL, NULL, NULL, 'ACTIVE'
+  FROM named n ANTI JOIN {person_stage} h ON lower(h.PersonID) = lower(n.id)) a"""
 
 
 @query(BEST)
@@ -272,14 +274,17 @@ def operator_aliases(i: Inputs) -> DataFrame:
     return people.aliased_persons(i["alias_stage"], i["person_stage"])
 
 
-@query(f"{BEST} UNION {ALIASED}")
+BOTH = f"SELECT * FROM ({BEST}) b UNION SELECT * FROM ({ALIASED}) a"
+
+
+@query(BOTH)
 def operator_union(i: Inputs) -> DataFrame:
     """Both sources, copies merged."""
     return people.operator_source(i["operator_stage"], i["person_stage"], i["alias_stage"])
 
 
 def operator_sql(null_safe: bool) -> str:
-    return sql.upsert("{operator_target}", f"SELECT {', '.join(PERSON_COLUMNS)} FROM ({BEST} UNION {ALIASED}) u",
+    return sql.upsert("{operator_target}", f"SELECT {', '.join(PERSON_COLUMNS)} FROM ({BOTH}) u",
                       ["FirstName", "LastName"], PERSON_COLUMNS, list(people.UPDATED), one_row="one",
                       null_safe_keys=null_safe, text_key=True, texts=people.UPDATED)
 

@@ -27,7 +27,8 @@ def roll_up(flagged: DataFrame, anchor: Column, band_minutes: int,
     A row stands for ``_weight`` copies of which ``_stopped`` are stopped. Copies do
     not move the average, minimum and maximum, as all rows of a group have the same
     weight. The total counts each copy; levels have none. The running average counts
-    a stopped copy as 0 and leaves out running copies without a value.
+    a stopped copy as 0 and leaves out running copies without a value. Spellings that
+    differ in case are one band, under the smallest of them.
     """
     rows = flagged.where(~text.is_state_attribute(F.col("Attribute"))).select(
         "Attribute", "ElementID", "ElementAttributeID", "_stopped", "_weight",
@@ -38,7 +39,9 @@ def roll_up(flagged: DataFrame, anchor: Column, band_minutes: int,
     counted = F.sum(F.when(value.isNull(), stopped).otherwise(weight))
     running = F.coalesce(F.sum(value * (weight - stopped)), F.lit(0.0))
     total = F.sum(value * weight)
-    bands = rows.groupBy(*BAND_KEYS).agg(
+    names = BAND_KEYS[1:]
+    bands = rows.groupBy("ReportingTime", *[text.fold(F.col(c)).alias(f"_{c}") for c in names]).agg(
+        *[F.min(c).alias(c) for c in names],
         F.avg(value).alias("Average"),
         F.min(value).alias("MinValue"),
         F.max(value).alias("MaxValue"),

@@ -13,12 +13,19 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import clock, text
+from ..sources.tables import settle
 
 SENSOR = ["ElementAttributeID", "ElementID"]
+_KEY = ["_sensor", "_element"]
 SLOT_MINUTES = 15
 HOT_ROWS = 2_000_000
 
 
+def with_sensor_key(rows: DataFrame) -> DataFrame:
+    """Both IDs folded: spellings that differ in case are one sensor."""
+    return rows.withColumns({key: text.fold(F.col(column)) for key, column in zip(_KEY, SENSOR)})
+
+
 def time_slot(ts: Column, minutes: int = SLOT_MINUTES) -> Column:
     return F.floor(clock.minute_number(ts) / minutes)
 
@@ -58,12 +65,12 @@ def status_switches(readings: DataFrame, slot_minutes: int = SLOT_MINUTES) -> Da
         *SENSOR, F.col("Time").alias("InitialStatusTime"), F.col("Value").alias("InitialStatus")
     )
     rows = with_next(
-        rows, SENSOR, ["InitialStatusTime", "InitialStatus"],
+        with_sensor_key(rows), _KEY, ["InitialStatusTime", "InitialStatus"],
         {"InitialStatusTime": "NextStatusTime", "InitialStatus": "NextStatus"},
         time_slot(F.col("InitialStatusTime"), slot_minutes),
     )
     next_status = F.when(F.col("_has_next"), F.col("NextStatus")).otherwise(F.lit("0"))
-    return rows.withColumn("NextStatus", next_status).drop("_has_next")
+    return rows.withColumn("NextStatus", next_status).drop("_has_next", *_KEY)
 
 
 def _slots(marked: DataFrame) -> DataFrame:
@@ -72,7 +79,7 @@ def _slots(marked: DataFrame) -> DataFrame:
     All rows are only counted, in a hash aggregate; the largest (time, text) pair, which
     Spark has to sort for, is taken over the few status rows.
     """
-    group = [*SENSOR, "_slot"]
+    group = [*_KEY, "_slot"]
     counts = marked.groupBy(*group).agg(
         F.count(F.when(F.col("_is_status"), 1)).alias("_n"), F.count(F.lit(1)).alias("_rows")
     )
@@ -82,10 +89,10 @@ def _slots(marked: DataFrame) -> DataFrame:
 
 def _carried(slots: DataFrame) -> DataFrame:
     """Each slot with the switch carried into it and its sensor's switch count and last switch."""
-    sensor = Window.partitionBy(*SENSOR)
+    sensor = Window.partitionBy(*_KEY)
     before = sensor.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     return slots.select(
-        *SENSOR, "_slot", "_rows",
+        *_KEY, "_slot", "_rows",
         F.last("_last", ignorenulls=True).over(before).alias("_carry"),
         F.sum("_n").over(sensor).alias("_switches"),
         F.max("_last.Time").over(sensor).alias("_last_switch"),
@@ -104,33 +111,33 @@ def flag_readings(readings: DataFrame, close_open_off: bool = False, dedupe: boo
 
     A sensor's slot is one group, led by a row that carries the state into it. Groups
     of more than ``hot_rows`` rows are split further, their switches copied to each
-    part; the list of them holds at most one row per ``hot_rows`` readings and is
-    broadcast on that ground.
+    part. The slots are written once: the leads and the list of hot groups read them,
+    and Spark knows the size of that list when it joins it.
     """
-    marked = readings.select(
-        *readings.columns, time_slot(F.col("Time"), slot_minutes).alias("_slot"),
+    marked = with_sensor_key(readings).select(
+        *readings.columns, *_KEY, time_slot(F.col("Time"), slot_minutes).alias("_slot"),
         text.is_run_status(F.col("CategoryName")).alias("_is_status"),
     ).where(F.col("_is_status").isNotNull())
-    slots = _slots(marked)
+    slots = settle(_slots(marked))
     parts = F.ceil(F.col("_rows") / hot_rows)
     hot = slots.where(F.col("_rows") > hot_rows).select(
-        *[F.col(c).alias(f"_hot{c}") for c in [*SENSOR, "_slot"]], parts.alias("_parts")
+        *[F.col(c).alias(f"_hot{c}") for c in [*_KEY, "_slot"]], parts.alias("_parts")
     )
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot{c}")) for c in [*SENSOR, "_slot"]])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_hot{c}")) for c in [*_KEY, "_slot"]])
     count = F.coalesce(F.col("_parts"), F.lit(1))
     # The partition number keeps copies of one reading apart and is the same when a task is repeated.
     scattered = F.pmod(F.xxhash64("Time", "Attribute", "Value", F.spark_partition_id()), count)
     part = F.when(F.col("_is_status"), F.sequence(F.lit(0), count - 1)).otherwise(F.array(scattered))
-    rows = marked.join(F.broadcast(hot), same, "left").select(
+    rows = marked.join(hot, same, "left").select(
         *marked.columns, F.explode(part).alias("_part"),
         F.when(F.col("_is_status"), F.lit(2)).otherwise(F.lit(1)).alias("_order"),
     )
     leads = _carried(slots).select(
-        *SENSOR, "_slot", "_carry", "_switches", "_last_switch", F.lit(0).alias("_order"),
+        *_KEY, "_slot", "_carry", "_switches", "_last_switch", F.lit(0).alias("_order"),
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"),
     )
     # A lead has no time and so comes first; a measurement comes before a switch of the same time.
-    group = Window.partitionBy(*SENSOR, "_slot", "_part").orderBy("Time", "_order", "Value")
+    group = Window.partitionBy(*_KEY, "_slot", "_part").orderBy("Time", "_order", "Value")
     so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     switch = F.when(F.col("_order") == 0, F.col("_carry")).when(
         F.col("_order") == 2, F.struct("Time", "Value")
@@ -140,7 +147,7 @@ def flag_readings(readings: DataFrame, close_open_off: bool = False, dedupe: boo
         "_switches": F.first("_switches").over(so_far),
         "_last_switch": F.first("_last_switch").over(so_far),
     }).where(F.col("_order") == 1)
-    known = reduce(and_, [F.col(c).isNotNull() for c in SENSOR])
+    known = reduce(and_, [F.col(c).isNotNull() for c in _KEY])
     off = known & (text.fold(F.col("_state.Value")) == text.STATUS_OFF)
     if not close_open_off:
         off = off & (F.col("Time") <= F.col("_last_switch"))
