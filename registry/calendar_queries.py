@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from shiftloom.functions import clock, text
@@ -56,6 +58,17 @@ def date_dimension_merge(i: Inputs) -> DataFrame:
     return shown(calendar.merge_dates(loaded, days, AS_OF).state).drop("ModifiedDate")
 
 
+@query("""
+SELECT DateKey, Date FROM (
+  SELECT CAST(strftime(Date, '%Y%m%d') AS INT) AS DateKey, Date FROM {big_order_days}
+  UNION SELECT CAST(strftime(d, '%Y%m%d') AS INT), CAST(d AS DATE)
+  FROM generate_series(TIMESTAMP '1995-03-01', TIMESTAMP '1998-02-28', INTERVAL 1 DAY) g(d)) c""")
+def date_dimension_years(i: Inputs) -> DataFrame:
+    """Three years of days added to a calendar of the days with big orders."""
+    loaded = generators.date_columns(i["big_order_days"], "2023-01-01")
+    return calendar.load_dates(loaded, date(1995, 3, 1), 3, AS_OF).state.select("DateKey", "Date")
+
+
 @query("""
 SELECT c.TimeKey, c.Time24Hr, strftime(TIMESTAMP '2000-01-01' + to_seconds(c.TimeKey - 1), '%I:%M:%S %p')
          AS Time12Hr, c.Time24Hr AS Time24HrTimeType,

@@ -27,6 +27,10 @@ SELECT CustomerID, Yr, Priority, Status, Band FROM (
                             ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
   FROM {orders}) t
 WHERE rn = 1"""
+INPUTS["order_profile"] = """
+SELECT o_custkey AS CustomerID, CAST(extract(YEAR FROM o_orderdate) AS INT) AS Yr,
+       o_orderpriority AS Priority, nullif(o_orderstatus, 'P') AS Status
+FROM {orders}"""
 INPUTS["customer_stage"] = """
 SELECT CustomerID, Priority, Status, Band FROM (
   SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY Yr DESC) AS rn
@@ -87,11 +91,12 @@ FROM {supplier} WHERE s_acctbal > 0"""
 INPUTS["ship_days"] = """
 SELECT CAST(min(l_shipdate) AS DATE) AS FirstDay, CAST(max(l_shipdate) AS DATE) AS LastDay
 FROM {lineitem}"""
-INPUTS["sales_stage"] = """
+INPUTS["sales_all"] = """
 SELECT l_orderkey AS OrderID, l_linenumber AS LineNumber, l_partkey AS PartID,
        l_suppkey AS SupplierID, l_shipdate AS ShipTime, CAST(l_shipdate AS DATE) AS ShipDay,
        l_quantity AS Quantity, nullif(l_returnflag, 'N') AS ReturnFlag
-FROM {lineitem} WHERE l_shipdate >= CAST('1998-01-01 00:00:00' AS NTZ)"""
+FROM {lineitem}"""
+INPUTS["sales_stage"] = "SELECT * FROM {sales_all} WHERE ShipTime >= CAST('1998-01-01 00:00:00' AS NTZ)"
 INPUTS["sales_target"] = """
 SELECT CAST(-1 AS BIGINT) AS PartKey, CAST(-1 AS BIGINT) AS SupplierKey, -1 AS ShipDateKey,
        l_orderkey AS OrderID, l_linenumber AS LineNumber, l_quantity AS Quantity,
@@ -256,10 +261,10 @@ FROM {tree} WHERE Segment IS NULL OR Segment <> 'MACHINERY'"""
 INPUTS["environment_stage"] = """
 SELECT ID AS EnvironmentID,
        CASE Level WHEN 1 THEN 'Enterprise' WHEN 2 THEN 'Class' WHEN 3 THEN 'Measure Group'
-            ELSE 'Measure' END AS EnvironmentType,
+            ELSE CASE WHEN ID % 3 = 0 THEN 'MEASURE' ELSE 'Measure' END END AS EnvironmentType,
        Name AS EnvironmentName, ParentID AS EnvironmentParentID, CAST(Level AS INT) AS Level,
        'Enterprise' AS Level1Type, L1 AS Level1Name,
-       CASE WHEN L2 = 'NATION_3' THEN 'Other' ELSE 'Class' END AS Level2Type, L2 AS Level2Name,
+       CASE L2 WHEN 'NATION_3' THEN 'Other' WHEN 'NATION_4' THEN 'CLASS' ELSE 'Class' END AS Level2Type, L2 AS Level2Name,
        'Measure Group' AS Level3Type, L3 AS Level3Name
 FROM {tree}"""
 INPUTS["environment_target"] = """
@@ -318,7 +323,8 @@ SELECT concat('U', CAST(c_custkey AS STRING)) AS PersonUID, CAST(c_custkey AS ST
 FROM {customer}"""
 INPUTS["alias_stage"] = """
 SELECT concat('DOM', chr(92), CAST(c_custkey AS STRING)) AS Operator
-FROM {customer} WHERE c_mktsegment IN ('MACHINERY', 'HOUSEHOLD')
+FROM {customer} WHERE c_mktsegment <> 'BUILDING'
+UNION ALL SELECT concat('dom', chr(92), CAST(c_custkey AS STRING)) FROM {customer} WHERE c_mktsegment = 'MACHINERY'
 UNION ALL SELECT CAST(c_custkey AS STRING) FROM {customer} WHERE c_mktsegment = 'BUILDING'
 UNION ALL SELECT concat('DOM', chr(92), 'x', CAST(s_suppkey AS STRING)) FROM {supplier}"""
 INPUTS["operator_target"] = """

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from shiftloom.operators import hierarchy
-from shiftloom.operators.lookups import Lookup, dimension_lookups, fact_lookups
-from shiftloom.operators.merge import KeyRules, MergeResult, VersionRules
+from shiftloom.operators.lookups import fact_lookups
+from shiftloom.operators.merge import MergeResult, VersionRules
 from shiftloom.plans import dimensions, facts, metadata, people, units
 from shiftloom.plans.dimensions import ENVIRONMENT, OPS_MEASURE, Options
 
@@ -14,8 +14,7 @@ from . import merge_sql as sql
 from .base import AS_OF, NOW, query, shown
 from .inputs import INPUTS, ORACLE_ONLY, Inputs
 from .lookup_queries import (
-    ELEMENT_RULE, SALES_LOOKUPS, STOP_LOOKUPS, ShiftRule, sales_tables, shift_case, shift_joins,
-    shift_tables,
+    SALES_LOOKUPS, sales_tables, shift_case, shift_joins, shift_tables,
 )
 
 ANY = Options(change="any", null_safe=True, undelete=True)
@@ -182,14 +181,14 @@ def load_reasons_any(i: Inputs) -> DataFrame:
 
 def measure_sql(name: str, stage: str, target: str, levels: dict[str, tuple[int, tuple[str, ...]]]) -> str:
     picks = [
-        f"CASE WHEN Level{n}Type IN ({', '.join(repr(t) for t in types)}) THEN Level{n}Name END AS {into}"
+        f"CASE WHEN lower(Level{n}Type) IN ({', '.join(repr(t.lower()) for t in types)}) THEN Level{n}Name END AS {into}"
         for into, (n, types) in levels.items()
     ]
     return f"""
 SELECT {name}ID, {name}Type, {name}Name,
        (SELECT any_value(d.{name}Key) FROM {target} d
         WHERE d.{name}ID = s.{name}ParentID AND d.IsCurrent = 1) AS {name}ParentKey,
-       Level, {', '.join(picks)}, CASE WHEN {name}Type = 'Measure' THEN {name}Name END AS Measure
+       Level, {', '.join(picks)}, CASE WHEN lower({name}Type) = 'measure' THEN {name}Name END AS Measure
 FROM {stage} s"""
 
 
@@ -274,7 +273,9 @@ def operator_aliases(i: Inputs) -> DataFrame:
     return people.aliased_persons(i["alias_stage"], i["person_stage"])
 
 
-BOTH = f"SELECT * FROM ({BEST}) b UNION SELECT * FROM ({ALIASED}) a"
+BOTH = (f"SELECT {', '.join(f'min({c}) AS {c}' for c in PERSON_COLUMNS)} "
+        f"FROM (SELECT * FROM ({BEST}) b UNION ALL SELECT * FROM ({ALIASED}) a) u "
+        f"GROUP BY {', '.join(f'lower({c})' for c in PERSON_COLUMNS)}")
 
 
 @query(BOTH)
@@ -308,15 +309,20 @@ def load_operators_null_safe(i: Inputs) -> DataFrame:
 
 
 # --- generic dimension ------------------------------------------------------------------------
-DETAIL_LOOKUPS = [{
-    "DimTableName": "Customer", "DimColumnName": "NationKey", "DimNaturalKeys": "CustomerID",
-    "StgColumnName": "NationID", "LookupTableName": "Nation", "LookupTableAliasName": "n",
-    "LookupColumnName": "NationID", "LookupIsSCD": "Yes",
-}]
+def _detail_row(schema: str, history: str) -> dict[str, str]:
+    return {
+        "DimSchemaName": schema, "DimTableName": "Customer", "DimColumnName": "NationKey",
+        "DimNaturalKeys": "CustomerID", "DimIsSCD": history, "StgColumnName": "NationID", "LookupSchemaName": "dim",
+        "LookupTableName": "Nation", "LookupTableAliasName": "n", "LookupColumnName": "NationID", "LookupIsSCD": "Yes",
+    }
+
+
+# Two dimensions of one name in two schemas.
+DETAIL_ROWS = [_detail_row("dim", "No"), _detail_row("hist", "Yes")]
+DETAIL_KEYS = {"Nation": "NationKey", "Customer": "CustomerKey"}
 DETAIL_SOURCE = """
 SELECT s.CustomerID, s.Name, coalesce(n.NationKey, -1) AS NationKey, s.Segment
 FROM {customer_detail} s LEFT JOIN {nation_dim} n ON s.NationID = n.NationID AND n.IsCurrent = 1"""
-DETAIL_KEY = KeyRules(("CustomerID",), duplicates="unique", surrogate="CustomerKey")
 
 
 @query(sql.upsert("{customer_detail_target}", DETAIL_SOURCE, ["CustomerID"],
@@ -324,10 +330,9 @@ DETAIL_KEY = KeyRules(("CustomerID",), duplicates="unique", surrogate="CustomerK
                   mode="always", surrogate="CustomerKey"))
 def load_dimension_type1(i: Inputs) -> DataFrame:
     """Any type-1 dimension, lookups driven by metadata rows."""
-    specs = dimension_lookups(DETAIL_LOOKUPS, "Customer", {"Nation": "NationKey"})
-    return _state(dimensions.load_dimension(
-        i["customer_detail_target"], i["customer_detail"], DETAIL_KEY, AS_OF, specs,
-        {"Nation": i["nation_dim"]}))
+    return _state(dimensions.load_dimension_by_metadata(
+        i["customer_detail_target"], i["customer_detail"], DETAIL_ROWS, "dim", "Customer", DETAIL_KEYS,
+        {"Nation": i["nation_dim"]}, AS_OF))
 
 
 INPUTS["detail_history"] = """
@@ -343,11 +348,10 @@ SELECT s_suppkey + 80000000, s_suppkey + 70000000, s_name, -1, 'none', 1,
 @query(sql.history("{detail_history}", DETAIL_SOURCE, "CustomerID", ["Name", "NationKey", "Segment"], [],
                    "CustomerKey", mode="always", only_current=False, stamp_new=True, stamp_deleted=True))
 def load_dimension_type2(i: Inputs) -> DataFrame:
-    """Any type-2 dimension."""
-    spec = Lookup("Nation", "NationKey", "NationKey", (("NationID", "NationID"),), current_only=True)
-    return _state(dimensions.load_dimension(
-        i["detail_history"], i["customer_detail"], DETAIL_KEY, AS_OF, [spec], {"Nation": i["nation_dim"]},
-        type2=True))
+    """Any type-2 dimension, described by metadata rows."""
+    return _state(dimensions.load_dimension_by_metadata(
+        i["detail_history"], i["customer_detail"], DETAIL_ROWS, "hist", "Customer", DETAIL_KEYS,
+        {"Nation": i["nation_dim"]}, AS_OF))
 
 
 # --- facts ------------------------------------------------------------------------------------
@@ -375,6 +379,22 @@ def load_fact_insert(i: Inputs) -> DataFrame:
         i["sales_target"], i["sales_stage"], SALES_LOOKUPS[:3], sales_tables(i), SALES_KEY, AS_OF))
 
 
+def _stop_row(table: str, column: str | None, stage: str, theirs: str, alias: str | None = None,
+              level: str | None = None) -> dict[str, str | None]:
+    return {
+        "FactTableName": "Stops", "FactColumnName": column, "StgColumnName": stage, "LookupSchemaName": "dim",
+        "LookupTableName": table, "LookupTableAliasName": alias or table, "LookupColumnName": theirs,
+        "LookupIsSCD": "No", "SCDDateField": None, "LocationLevel": level,
+    }
+
+
+STOP_ROWS = [
+    _stop_row("Date", "StopDateKey", "StopDay", "Date"),
+    _stop_row("Location", "LocationKey", "ElementID", "ElementID", level="Element"),
+    _stop_row("CrewShiftMapping", None, "StopTime", "ShiftStartTime", "Date"),
+    _stop_row("CrewShiftMapping", None, "StopDay,MineID", "ProductionDate,MineID", "dayroster"),
+    _stop_row("CrewShiftMapping", None, "StopDay,MineID", "ProductionDate,MineID", "nightroster"),
+]
 STOP_COLUMNS = ["StopID", "LocationKey", "StopDateKey", "ShiftEndDateKey", "ShiftTimeKey", "CrewKey", "Minutes"]
 
 
@@ -390,10 +410,24 @@ FROM (SELECT * FROM {{stops_target}}
       {shift_joins('s.StopDay', 'p.MineID', 'p.LocationKey')}
       WHERE s.StopID NOT IN (SELECT StopID FROM {{stops_target}})) f""")
 def load_fact_shifts(i: Inputs) -> DataFrame:
-    """An insert-only fact with location, shift and crew."""
-    return _state(facts.load_fact(
-        i["stops_target"], i["stops_stage"], STOP_LOOKUPS, shift_tables(i), ("StopID",), AS_OF,
-        location=ELEMENT_RULE, shift=ShiftRule("StopDay", "StopTime")))
+    """An insert-only fact with location, shift and crew, described by metadata rows."""
+    return _state(facts.load_fact_by_metadata(
+        i["stops_target"], i["stops_stage"], STOP_ROWS, "Stops", {"Date": "DateKey"}, shift_tables(i), ("StopID",), AS_OF))
+
+
+def _place_row(column: str, stage: str, theirs: str) -> dict[str, str | None]:
+    return _stop_row("Location", column, stage, theirs) | {"LookupTableAliasName": "both", "FactTableName": "Places", "LookupTableName": "Site"}
+
+
+@query("""
+SELECT s.StopID, coalesce(l.LocationKey, -1) AS PlantKey, coalesce(l.LocationKey, -1) AS MineKey
+FROM {stops_stage} s LEFT JOIN {location} l ON lower(s.PlantName) = lower(l.Name) AND lower(s.MineID) = lower(l.MineID)""")
+def lookup_two_targets(i: Inputs) -> DataFrame:
+    """Two metadata rows under one alias: both conditions hold, and both columns get the key."""
+    rows = [_place_row("PlantKey", "PlantName", "Name"), _place_row("MineKey", "MineID", "MineID")]
+    specs = fact_lookups(rows, "Places", {"Site": "LocationKey"})
+    found = facts.fact_source(i["stops_stage"], specs, {"Site": i["location"]})
+    return found.select("StopID", "PlantKey", "MineKey")
 
 
 INPUTS["status_fact_target"] = """

@@ -122,24 +122,40 @@ def status_versions_reopened(i: Inputs) -> DataFrame:
 @query("""
 SELECT (SELECT max(CustomerKey) FROM {customer_current}) + row_number() OVER (
          ORDER BY """ + sql.digest(["CustomerID", "Yr"]) + """) AS ProfileKey, CustomerID, Yr
-FROM {profile}""")
+FROM {order_profile}""")
 def surrogate_keys(i: Inputs) -> DataFrame:
-    """Dense keys for all yearly profiles, above the highest key in use."""
-    rows = i["profile"].select(F.lit(None).cast("bigint").alias("ProfileKey"), "CustomerID", "Yr")
+    """Dense keys for all orders by customer and year, exact copies included, above the highest key in use."""
+    rows = i["order_profile"].select(F.lit(None).cast("bigint").alias("ProfileKey"), "CustomerID", "Yr")
     return assign_keys(rows, "ProfileKey", ["CustomerID", "Yr"], highest_key(i["customer_current"], "CustomerKey"))
 
 
 @query("""
 SELECT CustomerID, Priority, Status, Yr, Copies FROM (
   SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY Priority, Status NULLS FIRST, Yr) AS rn,
-         count(*) OVER (PARTITION BY CustomerID) AS Copies FROM {profile}) p WHERE rn = 1""")
+         count(*) OVER (PARTITION BY CustomerID) AS Copies FROM {order_profile}) p WHERE rn = 1""")
 def one_row_per_customer(i: Inputs) -> DataFrame:
     """The guard against several source rows per key, keeping the first and the number of rows."""
-    rows = i["profile"].select("CustomerID", "Priority", "Status", "Yr")
+    rows = i["order_profile"].select("CustomerID", "Priority", "Status", "Yr")
     guarded = one_row_per_key(rows, KeyRules(("CustomerID",), duplicates="first"))
     return guarded.select("src.*", F.col("_copies").alias("Copies"))
 
 
+# The value of a version as a text, in spellings that differ by row.
+INPUTS["status_text_versions"] = """
+SELECT CustomerID, StartDate, EndDate, CASE StatusCode WHEN 1 THEN 'Final' WHEN 2 THEN 'open' END AS Status, Band,
+       CreatedDate, ModifiedDate FROM {status_versions}"""
+INPUTS["status_text_stage"] = """
+SELECT CustomerID, CASE StatusCode WHEN 1 THEN CASE WHEN CustomerID % 2 = 0 THEN 'FINAL' ELSE 'final' END
+       WHEN 2 THEN 'OPEN' END AS Status, Band FROM {status_stage}"""
+
+
+@query(sql.versions("{status_text_versions}", "SELECT * FROM {status_text_stage}", "CustomerID", "Status", ["Band"], text=True))
+def status_versions_text(i: Inputs) -> DataFrame:
+    """Versions of a text, compared without regard to case."""
+    how = VersionRules("StartDate", "EndDate", "Status")
+    return _state(versioned(i["status_text_versions"], i["status_text_stage"], VERSION_KEY, how, AS_OF))
+
+
 INPUTS["customer_partition_target"] = """
 SELECT CustomerID, nullif(Yr, 1996) AS Yr, Priority, Status, Band, FromTime AS CreatedDate,
        FromTime AS ModifiedDate

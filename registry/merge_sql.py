@@ -143,8 +143,9 @@ def one_row_sql(name: str, keys: list[str], columns: list[str], text_key: bool)
 
 
 def versions(target: str, source: str, key: str, value: str, columns: list[str],
-             stamp_new: bool = True, only_open: bool = False, reopen: bool = False) -> str:
+             stamp_new: bool = True, only_open: bool = False, reopen: bool = False, text: bool = False) -> str:
     """Versioned-fact state; ``columns`` are the columns besides key, value and version dates."""
+    form = "lower(coalesce({}, '-1'))" if text else "coalesce({}, -1)"
     own = [key, value, *columns]
     new_stamp = NOW if stamp_new else "CAST(NULL AS TIMESTAMP)"
     gone = "s.hit IS NULL AND t.EndDate IS NULL" if only_open else "s.hit IS NULL"
@@ -153,7 +154,7 @@ def versions(target: str, source: str, key: str, value: str, columns: list[str],
 WITH src AS ({source}),
 joined AS (
   SELECT t.*, {', '.join(f's.{c} AS s_{c}' for c in own)},
-         coalesce(s.hit AND t.EndDate IS NULL AND coalesce(t.{value}, -1) <> coalesce(s.{value}, -1),
+         coalesce(s.hit AND t.EndDate IS NULL AND {form.format('t.' + value)} <> {form.format('s.' + value)},
                   false) AS fires, {gone} AS gone
   FROM {target} t LEFT JOIN (SELECT *, true AS hit FROM src) s ON t.{key} = s.{key}),
 state AS (

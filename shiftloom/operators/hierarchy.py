@@ -90,7 +90,9 @@ def flatten(rows: DataFrame) -> DataFrame:
 def level_names(levels: Mapping[str, tuple[int, tuple[str, ...]]]) -> dict[str, Column]:
     """Columns that take level N's name when level N has one of the given types."""
     return {
-        into: F.when(F.col(f"Level{number}Type").isin(*types), F.col(f"Level{number}Name"))
+        into: F.when(
+            text.fold(F.col(f"Level{number}Type")).isin(*[t.lower() for t in types]), F.col(f"Level{number}Name")
+        )
         for into, (number, types) in levels.items()
     }
 

@@ -27,7 +27,7 @@ class Lookup:
     ``on`` pairs source columns with lookup columns. ``effective_at`` names the source
     column that must lie in the lookup row's effective range; ``current_only`` keeps
     current lookup rows. ``also`` lists further lookup columns to bring along, by new
-    name. With ``unknown=None`` a miss stays NULL; with ``required`` it drops the row.
+    name; ``copies`` are further columns that get the key. With ``unknown=None`` a miss stays NULL; with ``required`` it drops the row.
     """
 
     table: str
@@ -40,6 +40,7 @@ class Lookup:
     required: bool = False
     fold_case: bool = True
     also: tuple[tuple[str, str], ...] = ()
+    copies: tuple[str, ...] = ()
 
 
 def known_or_default(key: Column, default: int | None = UNKNOWN) -> Column:
@@ -63,7 +64,8 @@ def look_up(source: DataFrame, dimension: DataFrame | None, spec: Lookup) -> Dat
     """``source`` with the looked-up key added; a missing dimension gives the unknown member."""
     if dimension is None:
         extra = {new: F.lit(None) for _, new in spec.also}
-        return source.withColumns({spec.into: F.lit(spec.unknown).cast("long"), **extra})
+        blank = F.lit(spec.unknown).cast("long")
+        return source.withColumns({**{name: blank for name in (spec.into, *spec.copies)}, **extra})
     rows = current_rows(dimension) if spec.current_only else dimension
     picked = {"_key": spec.key, **{f"_on{i}": pair[1] for i, pair in enumerate(spec.on)}}
     picked |= {f"_also{i}": column for i, (column, _) in enumerate(spec.also)}
@@ -79,7 +81,7 @@ def look_up(source: DataFrame, dimension: DataFrame | None, spec: Lookup) -> Dat
     joined = source.join(side, reduce(and_, tests), "inner" if spec.required else "left")
     return joined.select(
         *source.columns,
-        known_or_default(F.col("_key"), spec.unknown).alias(spec.into),
+        *[known_or_default(F.col("_key"), spec.unknown).alias(name) for name in (spec.into, *spec.copies)],
         *[F.col(f"_also{i}").alias(new) for i, (_, new) in enumerate(spec.also)],
     )
 
@@ -159,12 +161,16 @@ def common_lookups(rows: Iterable[Mapping[str, str]], stage_table: str,
     ]
 
 
-def _grouped(rows: Iterable[Mapping[str, str]], into: str) -> list[tuple[Mapping[str, str], list]]:
-    groups: dict[tuple, tuple[Mapping[str, str], list]] = {}
+def _grouped(rows: Iterable[Mapping[str, str]], into: str) -> list[tuple[Mapping[str, str], list, list]]:
+    """Rows of one lookup table under one alias are one join: all their column pairs must agree, and
+    each of their target columns gets the key."""
+    groups: dict[tuple, tuple[Mapping[str, str], list, list]] = {}
     for row in rows:
-        name = (row["LookupTableName"], row["LookupTableAliasName"], row[into])
-        _, pairs = groups.setdefault(name, (row, []))
-        pairs.extend(column_pairs(row["StgColumnName"], row["LookupColumnName"]))
+        name = (row.get("LookupSchemaName"), row["LookupTableName"], row["LookupTableAliasName"])
+        _, pairs, targets = groups.setdefault(name, (row, [], []))
+        pairs.extend(p for p in column_pairs(row["StgColumnName"], row["LookupColumnName"]) if p not in pairs)
+        if row[into] and row[into] not in targets:
+            targets.append(row[into])
     return list(groups.values())
 
 
@@ -175,14 +181,19 @@ def column_pairs(stage_columns: str, lookup_columns: str) -> list[tuple[str, str
     return list(zip(left, right, strict=True))
 
 
-def dimension_lookups(rows: Iterable[Mapping[str, str]], table: str,
-                      keys: Mapping[str, str]) -> list[Lookup]:
+def dimension_rows(rows: Iterable[Mapping[str, str]], table: str, schema: str | None = None) -> list[Mapping[str, str]]:
+    """The metadata rows of one dimension; without a schema, of that name in any."""
+    return [r for r in rows if r["DimTableName"] == table and (schema is None or r["DimSchemaName"] == schema)]
+
+
+def dimension_lookups(rows: Iterable[Mapping[str, str]], table: str, keys: Mapping[str, str],
+                      schema: str | None = None) -> list[Lookup]:
     """Specs from dimension lookup metadata; ``LookupIsSCD`` means current rows only."""
-    mine = [r for r in rows if r["DimTableName"] == table and r["LookupTableName"]]
+    mine = [r for r in dimension_rows(rows, table, schema) if r["LookupTableName"]]
     return [
-        Lookup(r["LookupTableName"], keys.get(r["LookupTableName"], ""), r["DimColumnName"],
-               tuple(pairs), current_only=r["LookupIsSCD"] == "Yes")
-        for r, pairs in _grouped(mine, "DimColumnName")
+        Lookup(r["LookupTableName"], keys.get(r["LookupTableName"], ""), into[0], tuple(pairs),
+               current_only=r["LookupIsSCD"] == "Yes", copies=tuple(into[1:]))
+        for r, pairs, into in _grouped(mine, "DimColumnName")
     ]
 
 
@@ -197,10 +208,10 @@ def fact_lookups(rows: Iterable[Mapping[str, str]], table: str,
         r for r in rows if r["FactTableName"] == table and r["LookupTableName"] not in SHIFT_TABLES
     ]
     specs = []
-    for r, pairs in _grouped(mine, "FactColumnName"):
+    for r, pairs, into in _grouped(mine, "FactColumnName"):
         at = r["SCDDateField"] if r["LookupIsSCD"] == "Yes" else None
-        spec = Lookup(r["LookupTableName"], keys.get(r["LookupTableName"], ""), r["FactColumnName"],
-                      tuple(pairs), effective_at=at)
+        spec = Lookup(r["LookupTableName"], keys.get(r["LookupTableName"], ""), into[0],
+                      tuple(pairs), effective_at=at, copies=tuple(into[1:]))
         specs.append(spec)
     return specs
 
@@ -215,6 +226,16 @@ def describe(specs: DataFrame, group: list[str], column: str, into: str) -> Data
     return specs.groupBy(*group).agg(listed.alias(into))
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """One row of each set that differs in the case of texts alone, in the smallest spelling."""
+    texts = {c for c, kind in df.dtypes if kind == "string"}
+    keys = [(text.fold(F.col(c)) if c in texts else F.col(c)).alias(f"_d{i}") for i, c in enumerate(df.columns)]
+    if not texts:
+        return df.distinct()
+    shown = df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in df.columns if c in texts])
+    return shown.select(*[F.col(c if c in texts else f"_d{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
 def first_rows(df: DataFrame, order: list[Column], count: int) -> DataFrame:
     """The first ``count`` rows in order; each task keeps only its own first rows."""
     return df.orderBy(*order).limit(count)

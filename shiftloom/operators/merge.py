@@ -1,12 +1,13 @@
 """Merging a source into a target table, as DataFrames in and out.
 
-Every merge is two joins: the target left-joined to one source row per key, which
-decides what happens to the rows that are there, and the source anti-joined to the
-target's keys, which finds the new ones. Only the target side of the first join can
-have a hot key, and a left join lets Spark split that side or send the other one to
-every task when it measures small; a full outer join allows neither. Both joins read
-the source, so a source that is costly to compute should be settled first; the loads
-in ``plans`` do so.
+A merge reads the target twice. The first pass joins it to one source row per key and writes
+down, per target row, its key and what happens to it, with the source row where there is a
+change; new versions, new keys (the source anti-joined to the keys that were met) and the
+change feed all come from that narrow table. The second pass is the state itself, and is only
+run if it is used. Only the target side of the join can have a hot key, and a left join lets
+Spark split that side or send the other one to every task when it measures small; a full outer
+join allows neither. A source that is costly to compute should be settled first; the loads in
+``plans`` do so.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import NumericType, StringType
 
 from ..functions import clock, text
 from ..sources.tables import settle
@@ -216,13 +217,28 @@ def _replace(joined: DataFrame, target: DataFrame, values: dict[str, Column]) ->
     return joined.select(*columns)
 
 
-def _sources_where(joined: DataFrame, test: Column) -> DataFrame:
+def _classified(joined: DataFrame, rules: KeyRules, *flags: str) -> DataFrame:
+    """What a merge decides for each target row, written once: its key as ``_s`` names if the source
+    has it, ``flags``, and the source row if ``_fires``."""
+    keys = [F.when(F.col("_found"), F.col(t)).alias(s) for t, s in zip(_key_names(rules, "t"), _key_names(rules, "s"))]
+    return settle(joined.select(*keys, "_found", "_fires", *flags, F.when(F.col("_fires"), F.col("src")).alias("src")))
+
+
+def _new_rows(source: DataFrame, classified: DataFrame, rules: KeyRules) -> DataFrame:
+    """Source rows whose key no target row of ``classified`` has, duplicates included; written once."""
+    met = classified.where("_found").select(
+        *[F.col(name).alias(other) for name, other in zip(_key_names(rules, "s"), _key_names(rules, "t"))]
+    ).distinct()
+    return settle(_with_keys(source, rules, "s").join(met, _on(rules, "t", "s"), "left_anti").select(*source.columns))
+
+
+def _sources_where(classified: DataFrame, test: Column) -> DataFrame:
     """Source rows behind the target rows that pass ``test``, NULL columns where there is none.
 
     Unpacked from an array instead of filtered: from a filter over many columns that are
     then renamed, the optimizer derives a constraint for every subset of them.
     """
-    return joined.select(F.inline(F.when(test, F.array("src"))))
+    return classified.select(F.inline(F.when(test, F.array("src"))))
 
 
 def _feed(action: str, rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -236,7 +252,7 @@ def _audit(now: Column, stamp_modified: bool = True) -> dict[str, Column]:
 def insert_only(target: DataFrame, source: DataFrame, rules: KeyRules, as_of: datetime,
                 stamp_modified: bool = True) -> MergeResult:
     """Add rows with new keys; never touch the others. The new rows can simply be appended."""
-    new = unmatched_source(target, source, rules)
+    new = settle(unmatched_source(target, source, rules))
     now = clock.moment(as_of)
     inserted = _numbered(_shape(new, target, _audit(now, stamp_modified)), target, rules)
     return MergeResult(target, inserted, _feed("INSERT", new, source.columns))
@@ -247,20 +263,20 @@ def upsert(target: DataFrame, source: DataFrame, rules: KeyRules, as_of: datetim
            null_safe: bool = False) -> MergeResult:
     """Type-1 merge: overwrite ``update`` columns where ``compare`` columns differ, insert new keys."""
     now = clock.moment(as_of)
-    new = unmatched_source(target, source, rules)
-    inserted = _numbered(_shape(new, target, _audit(now)), target, rules)
-    added = _feed("INSERT", new, source.columns)
     if not update:
-        return MergeResult(target, inserted, added)
+        return insert_only(target, source, rules, as_of)
     joined = _matched(target, source, rules)
     change = differs(target, compare or update, mode, null_safe, rules.fold_case)
     joined = joined.withColumn("_fires", _guarded(F.col("_found") & change, rules))
+    decided = _classified(joined.where("_found"), rules)
+    new = _new_rows(source, decided, rules)
+    inserted = _numbered(_shape(new, target, _audit(now)), target, rules)
     values = {c: F.when(F.col("_fires"), F.col(f"src.{c}")).otherwise(F.col(c)) for c in update}
     if MODIFIED in target.columns:
         values[MODIFIED] = F.when(F.col("_fires"), now).otherwise(F.col(MODIFIED))
     existing = _replace(joined, target, values)
-    updated = _feed("UPDATE", _sources_where(joined, F.col("_fires")), source.columns)
-    return MergeResult(existing, inserted, updated.unionByName(added))
+    updated = _feed("UPDATE", _sources_where(decided, F.col("_fires")), source.columns)
+    return MergeResult(existing, inserted, updated.unionByName(_feed("INSERT", new, source.columns)))
 
 
 def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryRules,
@@ -272,12 +288,11 @@ def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryR
     """
     now = clock.moment(as_of)
     change = differs(target, how.tracked, how.change, how.null_safe, rules.fold_case)
-    eligible = target
     if how.only_current:
         is_open = (F.col("EffectiveEndTime").cast("timestamp_ntz") == clock.open_end()) & (
             F.col("IsCurrent") == 1
         )
-        change, eligible = is_open & change, target.where(is_open)
+        change = is_open & change
     fires = _guarded(F.col("_found") & change, rules)
     joined = _matched(target, source, rules).withColumns({"_fires": fires, "_gone": ~F.col("_found")})
     deleted = F.when(F.col("_gone"), F.lit(1))
@@ -291,9 +306,10 @@ def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryR
         MODIFIED: F.when(stamped, now).otherwise(F.col(MODIFIED)),
     })
 
-    touched = _sources_where(joined, F.col("_fires") | F.col("_gone"))
+    decided = _classified(joined, rules, "_gone")
+    touched = _sources_where(decided, F.col("_fires") | F.col("_gone"))
     changes = _feed("UPDATE", touched, source.columns)
-    new = unmatched_source(target, source, rules)
+    new = _new_rows(source, decided, rules)
     opened = {
         **{name: F.lit(value) for name, value in how.constants.items()},
         "IsCurrent": F.lit(1),
@@ -304,7 +320,7 @@ def history(target: DataFrame, source: DataFrame, rules: KeyRules, how: HistoryR
     }
     first_start = now if how.first_start is None else clock.moment(how.first_start)
     first = {**opened, **{c: F.lit(None) for c in how.first_nulls}, "EffectiveStartTime": first_start}
-    next_versions = _sources_where(_matched(eligible, source, rules), fires)
+    next_versions = _sources_where(decided, F.col("_fires"))
     inserted = _shape(new, target, first).unionByName(_shape(next_versions, target, opened))
     changes = changes.unionByName(_feed("INSERT", new, source.columns))
     return MergeResult(existing, _numbered(inserted, target, rules), changes)
@@ -314,31 +330,40 @@ def versioned(target: DataFrame, source: DataFrame, rules: KeyRules, how: Versio
               as_of: datetime) -> MergeResult:
     """Versioned fact: close an open version when its value changes and open the next one.
 
-    NULL counts as -1 in the comparison. Keys gone from the source have their rows
+    NULL counts as -1 in the comparison of numbers and texts; a NULL date or time differs from
+    any other. Texts are compared without regard to case where keys are. Keys gone from the source have their rows
     closed, rows closed before included unless ``only_open``. A new key with a NULL
     value opens no version.
     """
     now = clock.moment(as_of)
     kind = target.schema[how.value].dataType
-    blank = F.lit(-1).cast(kind)
-    old, new_value = F.coalesce(F.col(how.value), blank), F.coalesce(F.col(f"src.{how.value}").cast(kind), blank)
+    old, new_value = F.col(how.value), F.col(f"src.{how.value}").cast(kind)
+    if isinstance(kind, NumericType):
+        blank = F.lit(-1).cast(kind)
+        old, new_value = F.coalesce(old, blank), F.coalesce(new_value, blank)
+    elif isinstance(kind, StringType):
+        blank = F.lit("-1")
+        old, new_value = F.coalesce(old, blank), F.coalesce(new_value, blank)
+        if rules.fold_case:
+            old, new_value = text.fold(old), text.fold(new_value)
     is_open = F.col(how.end).isNull()
-    fires = _guarded(F.col("_found") & is_open & (old != new_value), rules)
+    fires = _guarded(F.col("_found") & is_open & ~old.eqNullSafe(new_value), rules)
     gone = ~F.col("_found") & is_open if how.only_open else ~F.col("_found")
-    joined = _matched(target, source, rules).withColumns({"_fires": fires, "_gone": gone})
+    joined = _matched(target, source, rules).withColumns({"_fires": fires, "_gone": gone, "_open": is_open})
     closes = F.col("_fires") | F.col("_gone")
     values = {how.end: F.when(closes, now).otherwise(F.col(how.end))}
     if MODIFIED in target.columns:
         values[MODIFIED] = F.when(closes, now).otherwise(F.col(MODIFIED))
     existing = _replace(joined, target, values)
 
-    known = target.where(F.col(how.end).isNull()) if how.reopen else target
-    new = unmatched_source(known, source, rules).where(F.col(how.value).isNotNull())
+    decided = _classified(joined, rules, "_gone", "_open")
+    known = decided.where("_open") if how.reopen else decided
+    new = _new_rows(source, known, rules).where(F.col(how.value).isNotNull())
     opened = {how.start: now, how.end: F.lit(None), **_audit(now, stamp_modified=False)}
     first = {**opened, **_audit(now, how.stamp_new)}
-    next_versions = _sources_where(_matched(target.where(is_open), source, rules), fires)
+    next_versions = _sources_where(decided, F.col("_fires"))
     inserted = _shape(new, target, first).unionByName(_shape(next_versions, target, opened))
-    touched = _sources_where(joined, closes)
+    touched = _sources_where(decided, closes)
     changes = _feed("UPDATE", touched, source.columns).unionByName(
         _feed("INSERT", new, source.columns)
     )

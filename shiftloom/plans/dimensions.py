@@ -8,8 +8,9 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import text
 from ..operators import hierarchy
-from ..operators.lookups import Lookup, look_up, resolve
+from ..operators.lookups import Lookup, dimension_lookups, dimension_rows, look_up, resolve
 from ..operators.merge import (
     AUDIT, HISTORY, HistoryRules, KeyRules, MergeResult, history, upsert,
 )
@@ -105,7 +106,7 @@ def measure_source(stage: DataFrame, dimension: DataFrame, tree: TreeDimension)
     )
     kind, name = f"{tree.name}Type", f"{tree.name}Name"
     columns: dict[str, Column] = hierarchy.level_names(tree.levels)
-    columns["Measure"] = F.when(F.col(kind) == "Measure", F.col(name))
+    columns["Measure"] = F.when(text.fold(F.col(kind)) == "measure", F.col(name))
     return with_parent.select(
         tree.id, kind, name, tree.parent_key, "Level",
         *[value.alias(into) for into, value in columns.items()],
@@ -181,3 +182,22 @@ def load_dimension(target: DataFrame, stage: DataFrame, rules: KeyRules, as_of:
         return history(target, source, rules, how, as_of)
     update = tuple(c for c in target.columns if c not in own and c not in AUDIT)
     return upsert(target, source, rules, as_of, update=update, mode="always")
+
+
+def load_dimension_by_metadata(target: DataFrame, stage: DataFrame, metadata: Iterable[Mapping[str, str]],
+                               schema: str, table: str, keys: Mapping[str, str],
+                               tables: Mapping[str, DataFrame | None], as_of: datetime, change: str = "always",
+                               only_current: bool = False, duplicates: str = "raise") -> MergeResult:
+    """Any dimension described by metadata rows alone: natural keys, type of history and lookups."""
+    rows = list(metadata)
+    mine = dimension_rows(rows, table, schema)
+    names = {r["DimNaturalKeys"] for r in mine if r["DimNaturalKeys"]}
+    history_kinds = {r["DimIsSCD"] for r in mine if r["DimIsSCD"]}
+    if len(names) != 1 or len(history_kinds) != 1:
+        raise ValueError(f"{schema}.{table} needs one list of natural keys and one kind of history")
+    natural = tuple(c.strip() for c in names.pop().split(","))
+    rules = KeyRules(natural, duplicates=duplicates, surrogate=keys[table])
+    return load_dimension(
+        target, stage, rules, as_of, dimension_lookups(rows, table, keys, schema), tables,
+        type2=history_kinds.pop() == "Yes", change=change, only_current=only_current,
+    )

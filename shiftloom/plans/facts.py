@@ -8,7 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.lookups import Lookup, common_lookups, look_up, resolve, with_location, with_next_day
+from ..operators.lookups import (
+    Lookup, column_pairs, common_lookups, distinct_rows, fact_lookups, look_up, resolve, with_location, with_next_day,
+)
 from ..operators.merge import KeyRules, MergeResult, VersionRules, insert_only, versioned
 from ..operators.shifts import attribute_shift
 from ..sources.tables import settle
@@ -34,6 +36,31 @@ class ShiftRule:
     mine: str | None = None
 
 
+def location_rule(rows: Iterable[Mapping[str, str]], table: str) -> LocationRule | None:
+    """From the fact's metadata row for the location table, if it has one."""
+    for r in rows:
+        if r["FactTableName"] == table and r["LookupTableName"] == "Location":
+            at = r["SCDDateField"] if r["LookupIsSCD"] == "Yes" else None
+            return LocationRule(r["StgColumnName"], r["LookupColumnName"], r["LocationLevel"], r["FactColumnName"], at)
+    return None
+
+
+def shift_rule(rows: Iterable[Mapping[str, str]], table: str) -> ShiftRule | None:
+    """From the fact's metadata rows for the roster table: one names the clock column, the others the
+    columns of the production day and the mine. At element grain the plant gives the mine."""
+    mine = [r for r in rows if r["FactTableName"] == table and r["LookupTableName"] == "CrewShiftMapping"]
+    if not mine:
+        return None
+    clock = next(r["StgColumnName"] for r in mine if "time" in r["StgColumnName"].lower())
+    pairs = {
+        theirs: ours for r in mine if "time" not in r["StgColumnName"].lower()
+        for ours, theirs in column_pairs(r["StgColumnName"], r["LookupColumnName"])
+    }
+    place = location_rule(rows, table)
+    at_element = place is not None and place.level == "Element"
+    return ShiftRule(pairs["ProductionDate"], clock, None if at_element else pairs.get("MineID"))
+
+
 def fact_source(stage: DataFrame, lookups: Iterable[Lookup], tables: Mapping[str, DataFrame | None],
                 location: LocationRule | None = None, shift: ShiftRule | None = None) -> DataFrame:
     """Stage rows with all keys resolved, distinct.
@@ -58,7 +85,7 @@ def fact_source(stage: DataFrame, lookups: Iterable[Lookup], tables: Mapping[str
             date_key=F.col("_today_key"), next_date_key=F.col("_next_key"),
         )
     helpers = ("_mine", "_plant_key", "_today_key", "_next_key")
-    return rows.drop(*helpers).distinct()
+    return distinct_rows(rows.drop(*helpers))
 
 
 def load_fact(target: DataFrame, stage: DataFrame, lookups: Iterable[Lookup],
@@ -72,6 +99,17 @@ def load_fact(target: DataFrame, stage: DataFrame, lookups: Iterable[Lookup],
     return versioned(target, source, KeyRules(key), version, as_of)
 
 
+def load_fact_by_metadata(target: DataFrame, stage: DataFrame, metadata: Iterable[Mapping[str, str]], table: str,
+                          keys: Mapping[str, str], tables: Mapping[str, DataFrame | None], key: tuple[str, ...],
+                          as_of: datetime, version: VersionRules | None = None) -> MergeResult:
+    """Any fact whose lookups, location, shift and crew are described by metadata rows alone."""
+    rows = list(metadata)
+    return load_fact(
+        target, stage, fact_lookups(rows, table, keys), tables, key, as_of,
+        location_rule(rows, table), shift_rule(rows, table), version,
+    )
+
+
 def load_simple_fact(target: DataFrame, stage: DataFrame, metadata: Iterable[Mapping[str, str]],
                      stage_table: str, keys: Mapping[str, str], tables: Mapping[str, DataFrame],
                      key: tuple[str, ...], as_of: datetime,

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text
+from ..operators.lookups import distinct_rows
 from ..operators.merge import KeyRules, MergeResult, upsert
 from ..sources.tables import settle
 
@@ -59,7 +60,7 @@ def aliased_persons(aliases: DataFrame, persons: DataFrame) -> DataFrame:
 
 def operator_source(operators: DataFrame, persons: DataFrame, aliases: DataFrame) -> DataFrame:
     ranked = best_records(operators, persons)
-    return ranked.unionByName(aliased_persons(aliases, persons)).distinct()
+    return distinct_rows(ranked.unionByName(aliased_persons(aliases, persons)))
 
 
 def load_operators(target: DataFrame, operators: DataFrame, persons: DataFrame,

@@ -152,3 +152,36 @@ def test_assign_keys(spark):
     found = assign_keys(copies, "k", ["id"], F.lit(10))
     assert sorted(r.k for r in found.collect()) == list(range(11, 2511))
     assert rows(found, "k", "id") == rows(assign_keys(copies.repartition(3), "k", ["id"], F.lit(10)), "k", "id")
+
+
+VERSION = "id string, v {kind}, StartDate timestamp_ntz, EndDate timestamp_ntz, CreatedDate timestamp_ntz, ModifiedDate timestamp_ntz"
+
+
+@pytest.mark.parametrize("kind, same, other", [
+    ("string", ("open", "OPEN"), ("open", "shut")), ("timestamp_ntz", (THEN, THEN), (THEN, NOW)),
+    ("date", (THEN.date(), THEN.date()), (THEN.date(), NOW.date())), ("int", (-1, None), (-1, 2)),
+])
+def test_versions_of_any_type(spark, kind, same, other):
+    target = spark.createDataFrame([("a", same[0], THEN, None, THEN, None), ("b", other[0], THEN, None, THEN, None)], VERSION.format(kind=kind))
+    source = spark.createDataFrame([("a", same[1]), ("b", other[1])], f"id string, v {kind}")
+    result = versioned(target, source, KeyRules(("id",)), VersionRules("StartDate", "EndDate", "v"), NOW)
+    assert rows(result.existing, "id", "EndDate") == [("a", None), ("b", NOW)]
+    assert rows(result.inserted, "id", "v") == [("b", other[1])]
+
+
+def test_a_merge_reads_the_target_twice(spark, tmp_path, type1, source, monkeypatch):
+    from shiftloom.operators import merge
+
+    type1.withColumn("onlyhere", F.lit(1)).write.parquet(f"{tmp_path}/t")
+    target, written = spark.read.parquet(f"{tmp_path}/t"), []
+    plain = merge.settle
+
+    def counted(df):
+        written.append(df._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/t"))
+        return plain(df)
+
+    monkeypatch.setattr(merge, "settle", counted)
+    result = upsert(target, source.where("id is not null"), KEY, NOW, update=("a", "b"))
+    state = result.existing._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/t")
+    assert sum(written) == 1 and state == 1
+    assert f"{tmp_path}/t" not in result.changes._jdf.queryExecution().executedPlan().toString()
