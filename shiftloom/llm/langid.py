@@ -35,7 +35,8 @@ SPAN = 1 << 19
 class Settings:
     """``sample``: distinct texts per label that training sees at most, on average.
     ``excerpt``: characters of a sampled text that training sees, from a place its hash picks.
-    ``lost``: share of the calibration texts, each predicted rightly, that rejection may cost."""
+    ``lost``: share of the rightly predicted calibration texts that may lie under the score whose
+    middle with that of a blind guess is the least one that is not rejected."""
 
     sample: int = 1200
     excerpt: int = 8000
@@ -187,8 +188,9 @@ def _calibrated(model: Model, held: list[tuple[int, bytes]], settings: Settings,
     heat = float(grid[int(np.argmin(loss))])
     chances = softmax(rows / heat)
     right = chances.max(axis=1)[chances.argmax(axis=1) == own]
+    # A text of two known languages falls between both; only what is nearer to a blind guess is rejected.
     least = float(np.quantile(right, settings.lost)) if len(right) else 0.0
-    return Model(model.labels, model.weights, model.bias, heat, least)
+    return Model(model.labels, model.weights, model.bias, heat, (least + 1 / len(model.labels)) / 2)
 
 
 def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
