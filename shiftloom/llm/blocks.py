@@ -10,6 +10,7 @@ as a row for each occurrence.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
@@ -20,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import settle, utf8
+from .texts import settled_path, utf8
 
 #: Words of a block; a longer document is a block of its own.
 BLOCK = 3_000_000
@@ -106,7 +107,7 @@ class _Builder:
 
 
 def cut_into_blocks(docs: DataFrame, cut: Callable[[bytes], Iterable[list[bytes]]], buckets: int) -> DataFrame:
-    """Settled blocks of ``docs`` (doc_id, flag, text): rows of words by bucket, and one row of documents."""
+    """A written table of blocks of ``docs`` (doc_id, flag, text): rows of words by bucket, and one row of documents."""
     docs = docs.select("doc_id", "flag", "text")
     schema = SCHEMA.format(doc=docs.schema["doc_id"].dataType.simpleString())
 
@@ -130,35 +131,45 @@ def cut_into_blocks(docs: DataFrame, cut: Callable[[bytes], Iterable[list[bytes]
         for row in builder.rows():
             yield pa.RecordBatch.from_pylist([row], kind)
 
-    return settle(docs.mapInArrow(blocks, schema))
+    # Bucketed by block, so that the documents need not be shuffled to meet their answers.
+    spark, name = docs.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    rows = docs.mapInArrow(blocks, schema).withColumn("kind", F.when(F.col("bucket") < 0, "docs").otherwise("words"))
+    places = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.write.format("parquet").partitionBy("kind").bucketBy(places, "block")
+    writer.option("path", settled_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
+def words_of(blocks: DataFrame) -> DataFrame:
+    return blocks.where("kind = 'words'").select("block", "bucket", "payload", "extra")
+
+
+def docs_of(blocks: DataFrame) -> DataFrame:
+    return blocks.where("kind = 'docs'").select("block", "docs", "payload")
 
 
 def answers(blocks: DataFrame, answer: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], buckets: int) -> DataFrame:
     """Give the words of each bucket, of all blocks, to ``answer`` in one task: rows in, rows of answers out."""
-    words = blocks.where(F.col("bucket") >= 0).select("block", "bucket", "payload", "extra")
-    return words.repartition(buckets, "bucket").mapInArrow(answer, "block bigint, bucket int, payload binary, extra binary")
+    words = words_of(blocks).repartition(buckets, "bucket")
+    return words.mapInArrow(answer, "block bigint, bucket int, payload binary, extra binary")
 
 
 def assemble(blocks: DataFrame, answered: DataFrame, finish: Callable, schema: str) -> DataFrame:
     """Bring the answers of a block and its documents together: one bounded group per block.
 
     ``finish(docs, numbers, gathered)`` gets the documents, the numbers of their words one after the
-    other, and pairs of word numbers and answer payloads; it yields record batches.
+    other, and triples of word numbers, answer payload and further parts; it returns a table.
     """
-    kept = blocks.where(F.col("bucket") < 0).select("block", "bucket", "docs", "payload", "extra")
-    both = kept.unionByName(answered, allowMissingColumns=True)
 
-    def group(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        own = next(row for row in rows if row["bucket"] == DOCS)
+    def group(own: pa.Table, found: pa.Table) -> pa.Table:
+        doc = own.to_pylist()[0]
         gathered = []
-        for row in rows:
-            if row["bucket"] != DOCS:
-                steps, *more = slices(row["extra"])
-                gathered.append((np.cumsum(unpack(steps), dtype=np.int64), row["payload"], more))
-        return finish(own["docs"], unpack(own["payload"]), gathered)
+        for row in found.to_pylist():
+            steps, *more = slices(row["extra"])
+            gathered.append((np.cumsum(unpack(steps), dtype=np.int64), row["payload"], more))
+        return finish(doc["docs"], unpack(doc["payload"]), gathered)
 
-    return both.groupBy("block").applyInArrow(group, schema)
+    return docs_of(blocks).groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(group, schema)
 
 
 def doc_numbers(docs: list[dict], numbers: np.ndarray) -> Iterator[tuple[dict, np.ndarray]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,18 +74,36 @@ def word_lists(text: bytes, table: bytes, piece: int = PIECE) -> Iterator[list[b
     yield [kept] if kept else []
 
 
-def settle(rows: DataFrame) -> DataFrame:
-    """Write an intermediate result to the cluster's shared folder and read it from there.
-
-    The folder is ``spark.checkpoint.dir``. What is settled outlives a lost executor, and Spark
-    knows its size when it plans the next join.
-    """
-    import uuid
-
-    spark = rows.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{folder}/settled/{uuid.uuid4().hex}"
+    return folder
+
+
+_SETTLED: list[str] = []
+
+
+def settled_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, remembered until ``forget``."""
+    _SETTLED.append(f"{shared_folder(spark)}/settled/{name}")
+    return _SETTLED[-1]
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it from there.
+
+    What is settled outlives a lost executor, and Spark knows its size when it plans the next join.
+    """
+    path = settled_path(rows.sparkSession, uuid.uuid4().hex)
     rows.write.parquet(path)
-    return spark.read.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def forget(spark: SparkSession, but: str | None = None) -> None:
+    """Delete what was settled in this process, all ``but`` one table; nothing may read it any more."""
+    for path in [p for p in _SETTLED if p != but]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _SETTLED.remove(path)
