@@ -33,12 +33,13 @@ SPAN = 1 << 19
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: distinct texts per label that training sees at most, on average.
+    """``sample`` and ``total``: distinct texts that training sees at most, on average, per label and in all.
     ``excerpt``: characters of a sampled text that training sees, from a place its hash picks.
     ``lost``: share of the rightly predicted calibration texts that may lie under the score whose
     middle with that of a blind guess is the least one that is not rejected."""
 
     sample: int = 1200
+    total: int = 10_000
     excerpt: int = 8000
     max_labels: int = 1000
     size: int = 16
@@ -117,8 +118,9 @@ def sample(labelled: DataFrame, settings: Settings) -> list[tuple[str, bytes]]:
         raise ValueError(f"more than {settings.max_labels} labels")
     if not sizes:
         return []
+    most = min(settings.sample, settings.total // len(sizes))
     bound = F.create_map(*[
-        F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, settings.sample / max(1, n)) * (1 << 30)))
+        F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, most / max(1, n)) * (1 << 30)))
     ])
     room = F.greatest(F.length("text") - settings.excerpt, F.lit(0))
     excerpt = F.substring("text", (F.pmod(F.xxhash64("text", F.lit(1)), room + 1) + 1).cast("int"), F.lit(settings.excerpt))
