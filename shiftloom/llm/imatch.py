@@ -27,10 +27,11 @@ from .texts import ALNUM_LOWER, byte_texts, numbered, settle, whole_text, word_l
 
 LEAST, MOST, MAX_LEXICON = 0.001, 0.1, 1_000_000
 #: Each subset takes one in 2**bits terms.
-SUBSETS = [bits for bits in range(2, 10) for _ in range(4)]
+SUBSETS = [bits for bits in range(2, 12) for _ in range(6)]
 #: Terms that a task counts before it passes its counts on.
 HELD = 400_000
 EMPTY = "0" * 8
+_PLACES = np.arange(len(SUBSETS), dtype=np.uint64)[:, None]
 
 
 def distinct_terms(text: bytes) -> set[bytes]:
@@ -98,11 +99,13 @@ def fingerprint(text: bytes, known: np.ndarray, masks: np.ndarray) -> str:
         at = at[known[at] == own]
     else:
         at = np.empty(0, np.int64)
-    inside, bits = known[at], masks[at]
+    inside = known[at]
     parts = [f"{xxhash.xxh64_intdigest((inside if len(at) else own).tobytes()):016x}"]
-    for k in range(len(SUBSETS)):
-        chosen = inside[bits >> np.uint64(k) & np.uint64(1) == 1]
-        parts.append(f"{xxhash.xxh32_intdigest(chosen.tobytes()) | 1:08x}" if len(chosen) else EMPTY)
+    subset, term = np.nonzero(masks[at] >> _PLACES & np.uint64(1))
+    chosen = inside[term].tobytes()
+    ends = (8 * np.cumsum(np.bincount(subset, minlength=len(SUBSETS)))).tolist()
+    for a, b in zip([0, *ends], ends):
+        parts.append(f"{xxhash.xxh32_intdigest(chosen[a:b]) | 1:08x}" if b > a else EMPTY)
     return "".join(parts)
 
 
