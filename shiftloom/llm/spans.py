@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -32,10 +33,28 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = pa.array(map(squeeze, byte_texts(batch.column("text"))), pa.binary())
+        kept = [name for name in batch.schema.names if name != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), texts], names=[*kept, "packed"])
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` compressed as ``packed``, to be shuffled."""
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
+    return rows.mapInArrow(_pack, ", ".join([*schema, "packed binary"]))
+
+
+def unpacked(column: pa.Array) -> Iterator[bytes]:
+    return map(zstandard.ZstdDecompressor().decompress, column.to_pylist())
+
+
 def with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """``doc_id``, ``row`` and whole ``text`` of ``docs`` beside the list that ``lists`` has for its ``row``."""
+    """``doc_id``, ``row`` and the ``packed`` whole text of ``docs`` beside the list that ``lists`` has for its ``row``."""
     rows = whole_text(numbered(docs.select("doc_id", "text"), "row"), "doc_id", "row")
-    return rows.join(lists, "row", "left")
+    return packed(rows).join(lists, "row", "left")
 
 
 def report(docs: DataFrame, runs: DataFrame, *counts: str) -> DataFrame:
@@ -44,13 +63,13 @@ def report(docs: DataFrame, runs: DataFrame, *counts: str) -> DataFrame:
     ``counts`` are whole numbers that ``runs`` also has; they are 0 for rows that it does not have.
     """
     shown = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts]
-    joined = with_lists(docs, runs).select("doc_id", "text", "runs", *shown)
+    joined = with_lists(docs, runs).select("doc_id", "packed", "runs", *shown)
     kind = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            for text, found in zip(byte_texts(batch.column("text")), batch.column("runs").to_pylist()):
+            for text, found in zip(unpacked(batch.column("packed")), batch.column("runs").to_pylist()):
                 gone = union((x["first"], x["end"]) for x in found or ())
                 left = kept_bytes(text, gone)
                 out["n_bytes"].append(len(text))
