@@ -14,14 +14,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import spans
 from .texts import numbered, settle, utf8, whole_text
 
-MIN_CHUNK, MAX_CHUNK, CUT_BITS = 32, 512, 5
-RUN = 160
-#: Bytes whose hash decides on a cut; chunks are at least as long.
+MIN_CHUNK, MAX_CHUNK, CUT_BITS = 16, 512, 4
+RUN = 96
+#: Bytes whose hash decides on a cut. They may begin before the chunk.
 REACH = 32
 PIECE = 1 << 20
 GEAR = np.random.default_rng(19770525).integers(0, 1 << 32, 256, np.uint32)
@@ -97,8 +97,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     """
     rows = whole_text(numbered(docs.select("text"), "row"), "row")
     chunks = rows.mapInArrow(_chunk_rows, "row bigint, one bigint, two bigint, first bigint, end bigint")
-    shared = chunks.groupBy("one", "two").agg(F.count("*").alias("n"), F.min("row").alias("owner")).where("n > 1")
-    found = chunks.join(shared.select("one", "two", "owner"), ["one", "two"])
+    # One shuffle by digest counts the copies and hands on those of repeated chunks only.
+    copies = Window.partitionBy("one", "two")
+    found = chunks.withColumn("n", F.count("*").over(copies)).withColumn("owner", F.min("row").over(copies)).where("n > 1")
     lists = found.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("first", "end", "one", (F.col("owner") == F.col("row")).alias("own")))).alias("chunks")
     )

@@ -70,3 +70,16 @@ def test_equals_brute_force(stored):
     by = {x[0]: x for x in found}
     assert all(by[str(100 + k)][3] >= c.RUN for k in range(12)) and all(by[str(200 + k)][3] == 0 for k in range(10))
     assert c.report(stored([], 1)).count() == 0
+
+
+def test_passages_of_51_words_in_two_documents(stored):
+    rng = np.random.default_rng(3)
+    rows, sizes = [], []
+    for k in range(60):
+        passage = " ".join("".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(2, 10))) for _ in range(51))
+        sizes.append(len(passage))
+        rows += [(2 * k + j, f"{words(1000 + 2 * k + j, 70)} {passage} {words(2000 + 2 * k + j, 70)}") for j in range(2)]
+    removed = {r.doc_id: r.n_removed for r in c.report(stored(rows, 1)).collect()}
+    gone = [removed[2 * k] + removed[2 * k + 1] for k in range(60)]
+    print("found", sum(x > 0 for x in gone), "mean size", sum(sizes) / 60, "mean removed", sum(gone) / 60)
+    assert sum(x > 0 for x in gone) >= 59
