@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, bpe, chunks, conversations, decontaminate, imatch, langid, licenses, lm, simhash, suffixes, templates
+from . import alignment, bpe, chunks, conversations, decontaminate, imatch, langid, licenses, lm, setsketch, simhash, suffixes, templates
 from .texts import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     ),
     "op10_suffix_dedup": lambda spark, folder: suffixes.report(table(spark, folder, "documents")),
+    "op11_setsketch": lambda spark, folder: setsketch.report(table(spark, folder, "documents")),
     "op12_conversation_repair": lambda spark, folder: conversations.report(table(spark, folder, "conversations")),
     "op13_token_alignment": lambda spark, folder: alignment.alignments(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -38,4 +39,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op3_line_templates": templates.SQL,
     "op9_decontamination": decontaminate.SQL,
+    "op11_setsketch": setsketch.SQL,
 }
