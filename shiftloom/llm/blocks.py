@@ -136,7 +136,7 @@ def cut_into_blocks(docs: DataFrame, cut: Callable[[bytes], Iterable[list[bytes]
     rows = docs.mapInArrow(blocks, schema).withColumn("kind", F.when(F.col("bucket") < 0, "docs").otherwise("words"))
     places = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = rows.write.format("parquet").partitionBy("kind").bucketBy(places, "block")
-    writer.option("path", settled_path(spark, name)).saveAsTable(name)
+    writer.option("path", settled_path(spark, name, table=name)).saveAsTable(name)
     return spark.table(name)
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .texts import ALNUM_LOWER, byte_texts, numbered, whole_text, word_lists
+from .texts import ALNUM_LOWER, byte_texts, fresh, numbered, whole_text, word_lists
 
 WINDOW = 10
 MAX_PATTERNS = 200_000
@@ -158,8 +158,9 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with an item, with all their columns."""
-    hit = contamination(docs, items).where(F.size("spans") > 0).select(F.col("row").alias("_row"))
-    return numbered(docs, "_row").join(hit, "_row", "left_anti").drop("_row")
+    place = fresh(docs, "row")
+    hit = contamination(docs, items).where(F.size("spans") > 0).select(F.col("row").alias(place))
+    return numbered(docs, place).join(hit, place, "left_anti").drop(place)
 
 
 WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

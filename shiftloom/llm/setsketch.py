@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .graph import components
-from .texts import LOWER, byte_texts, numbered, settle, whole_text, word_lists
+from .texts import LOWER, byte_texts, fresh, numbered, settle, whole_text, word_lists
 
 WORDS, SEED = 2, 42
 #: The least similarity, as a fraction.
@@ -304,7 +304,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int]
 
 def without_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """The first stored row of each group of ``near_copies``, with all the columns of ``docs``."""
-    place = next(name for k in range(len(docs.columns) + 1) if (name := f"row{k}") not in {c.lower() for c in docs.columns})
+    place = fresh(docs, "row")
     kept = near_copies(docs, words, similarity).where("row = best").select(F.col("row").alias(place))
     return numbered(docs, place).join(kept, place, "left_semi").drop(place)
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .texts import numbered, settle
+from .texts import fresh, numbered, settle
 
 DEPTH, MIN_DOCS, MIN_TOKENS = 3, 3, 3
 FIELD = "<*>"
@@ -90,8 +90,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     return again.select("row", "line")
 
 
-def without_templates(docs: DataFrame) -> DataFrame:
-    """``docs`` with the dropped lines taken out of ``text``, and ``_lines`` and ``_dropped`` counts.
+def without_templates(docs: DataFrame, lines_as: str | None = None, dropped_as: str | None = None) -> DataFrame:
+    """``docs`` with the dropped lines taken out of ``text``, and counts of lines under the names that are given.
 
     All rows stay, also those that lose all their lines (their text becomes empty). A null text
     stays null and has no lines, an empty one has one empty line. Repeated rows are documents of
@@ -103,30 +103,31 @@ def without_templates(docs: DataFrame) -> DataFrame:
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("line") % WORD_BITS)).alias("bits"),
         F.count("*").alias("n"),
     )
-    marks = bits.groupBy("row").agg(F.collect_list(F.struct("block", "bits")).alias("blocks"), F.sum("n").alias("_dropped"))
+    marks = bits.groupBy("row").agg(F.collect_list(F.struct("block", "bits")).alias("blocks"), F.sum("n").alias("n_dropped"))
     dense = F.transform(
         F.sequence(F.lit(0), F.array_max("blocks.block")),
         lambda b: F.coalesce(F.get(F.filter("blocks", lambda x: x["block"] == b), F.lit(0))["bits"], F.lit(0).cast("bigint")),
     )
-    marks = marks.select(F.col("row").alias("_row"), dense.alias("_bits"), "_dropped")
-    joined = numbered(docs, "_row").join(marks, "_row", "left")
+    place, bits, dropped = fresh(docs, "row"), fresh(docs, "bits"), fresh(docs, "dropped")
+    marks = marks.select(F.col("row").alias(place), dense.alias(bits), F.col("n_dropped").alias(dropped))
+    joined = numbered(docs, place).join(marks, place, "left")
     lines = F.split("text", "\n")
-    word = lambda i: F.coalesce(F.get(F.col("_bits"), F.floor(i / WORD_BITS).cast("int")), F.lit(0).cast("bigint"))
+    word = lambda i: F.coalesce(F.get(F.col(bits), F.floor(i / WORD_BITS).cast("int")), F.lit(0).cast("bigint"))
     stay = F.filter(lines, lambda x, i: F.getbit(word(i), i % WORD_BITS) == 0)
-    text = F.when(F.col("_bits").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    text = F.when(F.col(bits).isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_bits").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint"))
+        changed["n_chars"] = F.when(F.col(bits).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint"))
+    counts = {lines_as: F.coalesce(F.size(lines), F.lit(0)), dropped_as: F.coalesce(dropped, F.lit(0))}
     return joined.select(
         *[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("_lines"),
-        F.coalesce("_dropped", F.lit(0)).cast("bigint").alias("_dropped"),
+        *[count.cast("bigint").alias(name) for name, count in counts.items() if name],
     )
 
 
 def report(docs: DataFrame) -> DataFrame:
-    return without_templates(docs.select("doc_id", "text")).select(
-        "doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+    return without_templates(docs.select("doc_id", "text"), "n_lines", "n_dropped").select(
+        "doc_id", "n_lines", "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 

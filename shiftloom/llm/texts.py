@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.tables import shared_folder
+
 # Byte classes. Bytes from 0x80 up belong to letters of other scripts.
 LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
 ALNUM_LOWER = bytes(
@@ -74,21 +78,33 @@ def word_lists(text: bytes, table: bytes, piece: int = PIECE) -> Iterator[list[b
     yield [kept] if kept else []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, or with a number after it, so that ``docs`` has no such column, whatever the case."""
+    taken = {c.lower() for c in docs.columns}
+    return next(n for n in (name, *(f"{name}{k}" for k in range(len(taken)))) if n not in taken)
+
+
+#: Paths, and catalog tables, that the innermost ``scratch`` has settled; None outside of any.
+_SETTLED: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("settled", default=None)
 
 
-_SETTLED: list[str] = []
+@contextmanager
+def scratch() -> Iterator[list[tuple[str, str | None]]]:
+    """Collect what is settled inside, for ``forget``; what others settle is not touched."""
+    made: list[tuple[str, str | None]] = []
+    token = _SETTLED.set(made)
+    try:
+        yield made
+    finally:
+        _SETTLED.reset(token)
 
 
-def settled_path(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder, remembered until ``forget``."""
-    _SETTLED.append(f"{shared_folder(spark)}/settled/{name}")
-    return _SETTLED[-1]
+def settled_path(spark: SparkSession, name: str, table: str | None = None) -> str:
+    """A new place in the shared folder, and the catalog table that will stand for it."""
+    path = f"{shared_folder(spark)}/settled/{name}"
+    if (made := _SETTLED.get()) is not None:
+        made.append((path, table))
+    return path
 
 
 def settle(rows: DataFrame) -> DataFrame:
@@ -101,9 +117,11 @@ def settle(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
-def forget(spark: SparkSession, but: str | None = None) -> None:
-    """Delete what was settled in this process, all ``but`` one table; nothing may read it any more."""
-    for path in [p for p in _SETTLED if p != but]:
+def forget(spark: SparkSession, made: list[tuple[str, str | None]]) -> None:
+    """Delete what a ``scratch`` has collected; nothing may read it any more."""
+    for path, table in made:
+        if table is not None:
+            spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": table})
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        _SETTLED.remove(path)
+    made.clear()

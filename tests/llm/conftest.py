@@ -8,8 +8,10 @@ DOCS = StructType([
     StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()),
     StructField("source", StringType()), StructField("n_chars", LongType()),
     # Columns whose names the operators also use inside.
-    StructField("row", StringType()), StructField("key", StringType()), StructField("word", StringType()),
+    *[StructField(name, StringType()) for name in
+      ("row", "key", "word", "_row", "Row0", "bits", "_bits", "_lines", "_dropped", "flag", "part", "node", "kept")],
 ])
+MORE = len(DOCS) - 5
 
 
 def words(seed, n, stems="an el ti on re ver sch ió ß gra lo mi".split()):
@@ -22,7 +24,7 @@ def stored(spark, tmp_path_factory):
     """Write (doc_id, text, lang) rows as a documents table and read it again."""
 
     def write(rows, parts=3):
-        rows = [Row(*r, *[None] * (3 - len(r)), "src", None, "x", "y", "z") for r in rows]
+        rows = [Row(*r, *[None] * (3 - len(r)), "src", None, *"x" * MORE) for r in rows]
         path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
         spark.createDataFrame(rows, DOCS).repartition(parts).write.parquet(path)
         return spark.read.parquet(path)

@@ -47,7 +47,19 @@ def test_stages_and_run(spark, folder):
         assert r["ids"] == own.encode_ordinary(before[r.doc_id]) and r.n_tokens == len(r["ids"])
     again = corpus_pipeline.run(spark, folder)
     assert sorted(map(str, again.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
-    texts.forget(spark)
+
+
+def test_a_run_leaves_other_results_and_no_tables(spark, folder):
+    from shiftloom.llm.queries import QUERIES
+
+    lazy = QUERIES["op7_simhash"](spark, folder)
+    before, tables = lazy.count(), {t.name for t in spark.catalog.listTables()}
+    assert corpus_pipeline.run(spark, folder).count() > 0 and lazy.count() == before
+    with texts.scratch() as made:
+        assert QUERIES["op1_byte_bpe"](spark, folder).count() == before
+    texts.forget(spark, made)
+    # The ids of a run are read when its rows are asked for, so its own table stays.
+    assert len({t.name for t in spark.catalog.listTables()} - tables) <= 1 and lazy.count() == before
 
 
 def test_empty_table(spark, stored, tmp_path):

@@ -6,7 +6,7 @@ from .conftest import ODD, words
 
 
 def cleaned(docs):
-    return {(r.doc_id, r._lines, r._dropped): r.text for r in templates.without_templates(docs).collect()}
+    return {(r.doc_id, r.lines, r.dropped): r.text for r in templates.without_templates(docs, "lines", "dropped").collect()}
 
 
 def test_variable_fields_are_generalised(stored):
@@ -38,12 +38,13 @@ def test_many_lines_in_one_document(stored):
 
 def test_odd_rows(stored):
     docs = stored(ODD)
-    found = templates.without_templates(docs)
-    assert found.columns == docs.columns + ["_lines", "_dropped"] and found.count() == len(ODD)
+    found = templates.without_templates(docs, "lines", "dropped")
+    assert templates.without_templates(docs).columns == docs.columns
+    assert found.columns == docs.columns + ["lines", "dropped"] and found.count() == len(ODD)
     by = {r.doc_id: r for r in found.collect()}
-    assert by[1].text is None and by[1]._lines == 0 and by[2].text == "" and by[2]._lines == 1
+    assert by[1].text is None and by[1].lines == 0 and by[2].text == "" and by[2].lines == 1
     # Three documents hold one line: its first place stays.
     same = [r for r in found.collect() if (r.doc_id in (4, 5)) and "another" not in (r.text or "")]
     assert sorted(r.text for r in same) == ["", "", "same text twice over"]
     assert templates.report(stored([], 1)).count() == 0
-    assert found.where(F.col("_dropped") > 0).count() == 2
+    assert found.where(F.col("dropped") > 0).count() == 2
