@@ -201,6 +201,14 @@ SELECT event_id AS StopID, CAST(-1 AS BIGINT) AS LocationKey, -1 AS StopDateKey,
        value AS Minutes, ts AS CreatedDate, ts AS ModifiedDate
 FROM {events} WHERE event_type = 'signup'"""
 
+INPUTS["stops_by_day"] = """
+SELECT event_id AS StopID, CAST(-1 AS BIGINT) AS LocationKey,
+       CAST(extract(YEAR FROM ts) * 10000 + extract(MONTH FROM ts) * 100 + extract(DAY FROM ts) AS INT)
+         + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS StopDateKey,
+       -1 AS ShiftEndDateKey, CAST(-1 AS BIGINT) AS ShiftTimeKey, CAST(-1 AS BIGINT) AS CrewKey,
+       value AS Minutes, ts AS CreatedDate, ts AS ModifiedDate
+FROM {events} WHERE event_type = 'signup'"""
+
 # --- hierarchies ------------------------------------------------------------------------------
 INPUTS["tree"] = """
 SELECT 1000 + r_regionkey AS ID, concat('R', CAST(r_regionkey AS STRING)) AS Code,

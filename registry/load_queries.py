@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 from shiftloom.operators import hierarchy
 from shiftloom.operators.lookups import fact_lookups
 from shiftloom.operators.merge import MergeResult, VersionRules
+from shiftloom.operators.partitioned import Partitions
 from shiftloom.plans import dimensions, facts, metadata, people, units
 from shiftloom.plans.dimensions import ENVIRONMENT, OPS_MEASURE, Options
+from shiftloom.sources import tables
 
 from . import merge_sql as sql
 from .base import AS_OF, NOW, query, shown
@@ -415,6 +417,28 @@ def load_fact_shifts(i: Inputs) -> DataFrame:
         i["stops_target"], i["stops_stage"], STOP_ROWS, "Stops", {"Date": "DateKey"}, shift_tables(i), ("StopID",), AS_OF))
 
 
+@query(f"""
+SELECT * REPLACE (CAST(CreatedDate AS VARCHAR) AS CreatedDate, CAST(ModifiedDate AS VARCHAR) AS ModifiedDate)
+FROM (SELECT * FROM {{stops_by_day}}
+      UNION ALL
+      SELECT s.StopID, coalesce(l.LocationKey, -1) AS LocationKey, coalesce(c.DateKey, -1) AS StopDateKey,
+             {shift_case('s.StopTime')}, s.Minutes, {NOW}, {NOW}
+      FROM (SELECT DISTINCT * FROM {{stops_stage}}) s LEFT JOIN {{location}} l ON s.ElementID = l.ElementID
+      LEFT JOIN {{location}} p ON lower(l.Plant) = lower(p.Name)
+      LEFT JOIN {{event_calendar}} c ON s.StopDay = c.Date
+      {shift_joins('s.StopDay', 'p.MineID', 'p.LocationKey')}
+      WHERE NOT EXISTS (SELECT 1 FROM {{stops_by_day}} t
+                        WHERE t.StopID = s.StopID AND t.StopDateKey = coalesce(c.DateKey, -1))) f""")
+def load_fact_by_day(i: Inputs) -> DataFrame:
+    """The same into a stored table partitioned by day, whose key has the day; new rows are appended."""
+    path = f"{tables.shared_folder(i.spark)}/facts/{tables.new_name()}"
+    tables.append(i["stops_by_day"], path, ("StopDateKey",))
+    facts.load_fact_into(
+        path, i["stops_stage"], fact_lookups(STOP_ROWS, "Stops", {"Date": "DateKey"}), shift_tables(i), ("StopID", "StopDateKey"),
+        AS_OF, Partitions(("StopDateKey",)), facts.location_rule(STOP_ROWS, "Stops"), facts.shift_rule(STOP_ROWS, "Stops"))
+    return shown(i.spark.read.parquet(path))
+
+
 def _place_row(column: str, stage: str, theirs: str) -> dict[str, str | None]:
     return _stop_row("Location", column, stage, theirs) | {"LookupTableAliasName": "both", "FactTableName": "Places", "LookupTableName": "Site"}
 

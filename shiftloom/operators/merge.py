@@ -170,6 +170,13 @@ def absent_target(target: DataFrame, source: DataFrame, rules: KeyRules) -> Data
     return joined.select(*target.columns)
 
 
+def present_target(target: DataFrame, source: DataFrame, rules: KeyRules) -> DataFrame:
+    """Target rows whose key the source has."""
+    keys = _with_keys(source, rules, "s").select(*_key_names(rules, "s")).distinct()
+    joined = _with_keys(target, rules, "t").join(keys, _on(rules, "t", "s"), "left_semi")
+    return joined.select(*target.columns)
+
+
 def differs(target: DataFrame, columns: tuple[str, ...], mode: str, null_safe: bool = False,
             fold_case: bool = True) -> Column:
     """Whether target columns differ from ``src``.

@@ -12,6 +12,7 @@ from ..operators.lookups import (
     Lookup, column_pairs, common_lookups, distinct_rows, fact_lookups, look_up, resolve, with_location, with_next_day,
 )
 from ..operators.merge import KeyRules, MergeResult, VersionRules, insert_only, versioned
+from ..operators.partitioned import Partitions, insert_partitions, versioned_partitions
 from ..operators.shifts import attribute_shift
 from ..sources.tables import settle
 
@@ -51,13 +52,17 @@ def shift_rule(rows: Iterable[Mapping[str, str]], table: str) -> ShiftRule | Non
     mine = [r for r in rows if r["FactTableName"] == table and r["LookupTableName"] == "CrewShiftMapping"]
     if not mine:
         return None
-    clock = next(r["StgColumnName"] for r in mine if "time" in r["StgColumnName"].lower())
+    clock = next((r["StgColumnName"] for r in mine if "time" in r["StgColumnName"].lower()), None)
+    if clock is None:
+        raise ValueError(f"no roster row of {table} names its clock column")
     pairs = {
         theirs: ours for r in mine if "time" not in r["StgColumnName"].lower()
         for ours, theirs in column_pairs(r["StgColumnName"], r["LookupColumnName"])
     }
     place = location_rule(rows, table)
     at_element = place is not None and place.level == "Element"
+    if "ProductionDate" not in pairs:
+        raise ValueError(f"no roster row of {table} names its production day")
     return ShiftRule(pairs["ProductionDate"], clock, None if at_element else pairs.get("MineID"))
 
 
@@ -99,6 +104,20 @@ def load_fact(target: DataFrame, stage: DataFrame, lookups: Iterable[Lookup],
     return versioned(target, source, KeyRules(key), version, as_of)
 
 
+def load_fact_into(path: str, stage: DataFrame, lookups: Iterable[Lookup], tables: Mapping[str, DataFrame | None],
+                   key: tuple[str, ...], as_of: datetime, parts: Partitions, location: LocationRule | None = None,
+                   shift: ShiftRule | None = None, version: VersionRules | None = None) -> DataFrame:
+    """``load_fact`` into a partitioned table at ``path``; the change feed is returned.
+
+    New rows of an insert-only fact are appended. A versioned fact rewrites the partitions of its source, in
+    which alone keys count as gone.
+    """
+    source = settle(fact_source(stage, lookups, tables, location, shift))
+    if version is None:
+        return insert_partitions(path, source, KeyRules(key), parts, as_of)
+    return versioned_partitions(path, source, KeyRules(key), parts, version, as_of)
+
+
 def load_fact_by_metadata(target: DataFrame, stage: DataFrame, metadata: Iterable[Mapping[str, str]], table: str,
                           keys: Mapping[str, str], tables: Mapping[str, DataFrame | None], key: tuple[str, ...],
                           as_of: datetime, version: VersionRules | None = None) -> MergeResult:

@@ -12,6 +12,7 @@ from ..operators.lookups import (
     Lookup, UNKNOWN, look_up, with_date_and_time_keys, with_location, with_next_day,
 )
 from ..operators.merge import KeyRules, MergeResult, upsert
+from ..operators.partitioned import Partitions, upsert_partitions
 from ..operators.rollup import MEASURES, before_shift_end, latest, roll_up
 from ..operators.shifts import attribute_shift
 from ..operators.status import flag_readings
@@ -114,11 +115,7 @@ def summary_rows(readings: DataFrame, dims: Dimensions, summary: Summary,
 
 def merge_summary(target: DataFrame, rows: DataFrame, summary: Summary, as_of: datetime,
                   duplicates: str = "raise") -> MergeResult:
-    """Upsert on location, attribute, date and time; crew and shift stay as first loaded.
-
-    With the target partitioned by ReportingDateKey, pass the partitions that the
-    source touches and write the result over those alone.
-    """
+    """Upsert on location, attribute, date and time; crew and shift stay as first loaded."""
     return upsert(target, rows, KeyRules(SUMMARY_KEY, duplicates), as_of, update=summary.measures)
 
 
@@ -128,3 +125,17 @@ def load_summary(target: DataFrame, readings: DataFrame, dims: Dimensions, summa
     """Readings to merged summary. The bands are written once before the merge reads them."""
     rows = settle(summary_rows(readings, dims, summary, options))
     return merge_summary(target, rows, summary, as_of, duplicates)
+
+
+#: How a stored summary is laid out.
+BY_DAY = Partitions(("ReportingDateKey",))
+
+
+def load_summary_into(path: str, readings: DataFrame, dims: Dimensions, summary: Summary, as_of: datetime,
+                      options: RollupOptions = STRICT, duplicates: str = "raise", parts: Partitions = BY_DAY) -> DataFrame:
+    """``load_summary`` into a table partitioned by day at ``path``: only days with bands are read, and only days
+    in which a row changes are written. The change feed is returned. With ``stale="remove"`` in ``parts``, rows of those
+    days that the readings no longer give go.
+    """
+    rows = settle(summary_rows(readings, dims, summary, options))
+    return upsert_partitions(path, rows, KeyRules(SUMMARY_KEY, duplicates), parts, as_of, update=summary.measures)
