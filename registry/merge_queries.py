@@ -11,7 +11,7 @@ from shiftloom.operators.merge import (
     HistoryRules, KeyRules, MergeResult, VersionRules, history, insert_only, one_row_per_key, upsert,
     versioned,
 )
-from shiftloom.sources import tables
+from shiftloom.sources import tables, versions
 
 from . import merge_sql as sql
 from .base import AS_OF, query, shown
@@ -168,7 +168,8 @@ FROM {profile} WHERE Yr >= 1999"""
 @query(sql.upsert("{customer_partition_target}", "SELECT * FROM {customer_partition_stage}",
                   ["CustomerID", "Yr"], ["CustomerID", "Yr", *TRACKED], ["Priority"]))
 def sink_cycle(i: Inputs) -> DataFrame:
-    """A partitioned table written, its touched partitions merged and replaced, the stage cleared."""
+    """A partitioned table written, its touched partitions merged and replaced, the stage cleared, the state
+    published over a version with fewer columns and brought back after an empty one."""
     base = f"{tables.shared_folder(i.spark)}/sink-cycle/{tables.new_name()}"
     fact, stage = f"{base}/fact", f"{base}/stage"
     tables.append(i["customer_partition_target"], fact, ("Yr",))
@@ -182,7 +183,9 @@ def sink_cycle(i: Inputs) -> DataFrame:
     state = i.spark.read.parquet(fact).unionByName(
         i.spark.read.parquet(stage).select("*", *[F.lit(None).cast("timestamp_ntz").alias(c)
                                                   for c in ("CreatedDate", "ModifiedDate")]))
-    table = f"published_{tables.new_name()}"
-    tables.publish(state.limit(1), f"{base}/published", "v1", table)
-    tables.publish(state, f"{base}/published", "v2", table)
+    table, place = f"published_{tables.new_name()}", f"{base}/published"
+    versions.publish_version(state.drop("ModifiedDate", "Priority").limit(1), place, "narrow", None, table)
+    versions.publish_version(state, place, "whole", "narrow", table)
+    versions.publish_version(state.limit(0), place, "empty", "whole", table)
+    versions.roll_back(i.spark, place, "whole", "empty", table)
     return shown(i.spark.table(table))

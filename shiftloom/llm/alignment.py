@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -33,7 +34,7 @@ from .texts import settle, utf8, whole_text
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 MARK, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
 #: Bytes of text worked on at a time, links (ids and document) of a block, and distinct words that a task remembers.
-PIECE, BLOCK, REMEMBERED = 1 << 20, 1 << 21, 1 << 19
+PIECE, BLOCK, REMEMBERED = 1 << 18, 1 << 20, 1 << 17
 
 
 class Csr:
@@ -102,6 +103,31 @@ def groups(links: Csr) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
+def _slices(a_lengths: np.ndarray, b_lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Cut both token sequences into parts of about ``PIECE`` bytes, at ends that they share."""
+    a_ends, b_ends = np.cumsum(a_lengths), np.cumsum(b_lengths)
+    ends = a_ends[np.isin(a_ends, b_ends, assume_unique=True, kind="sort")]
+    at, i, j = 0, 0, 0
+    while i < len(a_ends):
+        end = ends[min(np.searchsorted(ends, at + PIECE), len(ends) - 1)]
+        to_i, to_j = int(np.searchsorted(a_ends, end)) + 1, int(np.searchsorted(b_ends, end)) + 1
+        yield i, to_i, j, to_j
+        at, i, j = int(end), to_i, to_j
+
+
+def grouped(a_lengths: np.ndarray, b_lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The group of each token of A and of B, and how many tokens of B each of A overlaps; bytes of a part at a time."""
+    a, b, met, total = [], [], [], 0
+    for i, to_i, j, to_j in _slices(a_lengths, b_lengths):
+        links = overlaps(a_lengths[i:to_i], b_lengths[j:to_j])
+        one, two = groups(links)
+        a.append(one + total)
+        b.append(two + total)
+        met.append(np.diff(links.indptr))
+        total = int(a[-1][-1]) + 1
+    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b, met))
+
+
 def shared(a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray, doc: np.ndarray) -> tuple:
     """Linked ids: document, id of A, id of B and how many occurrences of them share a group.
 
@@ -136,9 +162,9 @@ class Side:
         self.cut, self.encode = cut, encode
         self.table = pa.array(table, pa.large_binary())
         self.lengths = np.fromiter(map(len, table), np.int64, len(table))
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.numbers: dict[str, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
         self.ids, self.offsets = np.empty(0, np.int64), np.zeros(1, np.int64)
@@ -146,7 +172,7 @@ class Side:
     def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         if len(self.numbers) > REMEMBERED:
-            self._clear()
+            self.clear()
         known = len(self.numbers)
         words = [np.fromiter(map(self.numbers.__getitem__, part), np.int64, len(part)) for part in map(self.cut, texts)]
         fresh = list(itertools.islice(self.numbers, known, None))
@@ -171,6 +197,7 @@ class Side:
 
 def byte_level(path: str) -> Side:
     """A byte-level tokenizer file. Its pre-tokens never merge with each other."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for a task, and one arena of memory
     model = tokenizers.Tokenizer.from_file(path)
     model.encode_special_tokens = True
     model.no_padding()
@@ -255,13 +282,12 @@ def align(texts: list[str], a: Side, b: Side) -> dict[str, np.ndarray | list]:
     a_ids, b_ids = a_ids[np.repeat(good, a_count)], b_ids[np.repeat(good, b_count)]
     a_count, b_count = a_count * good, b_count * good
     # Tokens of all texts follow each other; both end a token where a text ends, so no group crosses texts.
-    links = overlaps(a.lengths[a_ids], b.lengths[b_ids])
-    a_group, b_group = groups(links)
+    a_group, b_group, met = grouped(a.lengths[a_ids], b.lengths[b_ids])
     total = int(a_group[-1]) + 1 if len(a_group) else 0
     doc = np.empty(total, np.int64)
     doc[a_group] = np.repeat(np.arange(len(texts)), a_count)
     a_edge, b_edge = np.r_[0, np.cumsum(a_count)], np.r_[0, np.cumsum(b_count)]
-    n_overlaps = np.bincount(doc[a_group[links.rows()]], minlength=len(texts)) if total else np.zeros(len(texts), np.int64)
+    n_overlaps = np.diff(np.r_[0, np.cumsum(met)][a_edge])
     of, one, two, times = shared(a_ids, a_group, b_ids, b_group, doc)
     return {
         "n_a": a_count, "n_b": b_count, "n_groups": np.bincount(doc, minlength=len(texts)), "n_overlaps": n_overlaps,
@@ -336,6 +362,8 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 yield made()
         if held:
             yield made()
+        a.clear()
+        b.clear()
 
     return settle(whole_text(docs, "doc_id").mapInArrow(run, schema))
 

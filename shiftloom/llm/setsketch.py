@@ -9,8 +9,8 @@ other or neither is ahead give the likelihood of each similarity; pairs that the
 excludes are dropped, and the others are compared on their full sets.
 
 Equal sets are one node. In a band's bucket of many nodes most are linked by being compared with
-one leader; only nodes of different classes are compared further, and buckets in which many are
-left are cut by a second and third band, on which a pair of the wanted similarity agrees as well.
+leaders, other ones in each round; then all nodes of a bucket that are still in different classes
+are compared.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ BASE, FIRST, LAST = 1.02, 32.0, (1 << 16) - 1
 UNLIKELY = 18.0
 #: Shingles that are sketched at a time, bytes of compressed texts in a batch, sets a task holds for the next pairs.
 SLICE, BATCH, HELD = 1 << 18, 1 << 24, 256
-#: Nodes of a bucket that are compared with each other at once, and the bands by which larger ones are cut.
-CROWD, CUTS = 64, 3
+#: Rounds in which nodes are compared with leaders of their buckets, and the leaders of a bucket in each.
+TURNS, LEADERS = 2, 3
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -235,47 +235,47 @@ def _alike(pairs: DataFrame, bodies: DataFrame, words: int, similarity: tuple[in
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def _leaders(rows: DataFrame, seeds: range) -> DataFrame:
+    """Pairs of each row's node with nodes of its bucket that a hash chooses, where their classes differ."""
+    chosen = []
+    for seed in seeds:
+        order = F.xxhash64("node", F.lit(seed))
+        chosen += [F.min_by("node", order).alias(f"node{seed}"), F.min_by("root", order).alias(f"root{seed}")]
+    leaders = F.array(*[F.struct(F.col(f"node{s}").alias("node"), F.col(f"root{s}").alias("root")) for s in seeds])
+    tops = rows.groupBy("key").agg(*chosen).select("key", leaders.alias("leaders"))
+    each = rows.join(tops, "key").select("node", "root", F.explode("leaders").alias("leader"))
+    return each.where("root <> leader.root").select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
+
+
+def _undecided(rows: DataFrame) -> DataFrame:
+    """The rows of buckets (``key``) with nodes of several classes."""
+    stats = rows.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("two"))
+    return rows.join(stats.where("one <> two").select("key"), "key")
+
+
 def links(nodes: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
     """``node`` and ``root``: classes of the ``nodes`` (node, n, sketch, bands, packed) under all links."""
-    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high")).where("size > 1")
-    met = settle(keys.join(buckets, "key"))
-    bodies = settle(nodes.join(met.select("node").distinct(), "node", "left_semi"))
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    rows = settle(keys.join(shared, "key").withColumn("root", F.col("node")))
+    bodies = settle(nodes.join(rows.select("node").distinct(), "node", "left_semi").drop("bands"))
 
     def compared(pairs: DataFrame) -> DataFrame:
         likely = settle(_likely(pairs.where("a <> b"), bodies, similarity))
         return settle(_alike(likely, bodies, words, similarity))
 
-    def mixed(rows: DataFrame) -> DataFrame:
-        """Buckets with nodes of several classes."""
-        stats = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("one"), F.max("root").alias("two"))
-        return rows.select("key", "band", "node", "root").join(stats.where("one <> two").select("key", "size"), "key")
-
-    def classed(rows: DataFrame, roots: DataFrame) -> DataFrame:
-        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    found = compared(met.select(F.col("node").alias("a"), F.col("low").alias("b")))
-    roots = settle(components(found))
-    apart = mixed(classed(met, roots)).join(buckets.select("key", "high"), "key")
-    found = found.unionByName(compared(apart.select(F.col("node").alias("a"), F.col("high").alias("b"))))
-    roots = settle(components(found))
-    rows, pairs = classed(met, roots), []
-    for cut in range(CUTS):
-        rows = settle(mixed(rows))
-        last = cut == CUTS - 1
-        few = rows if last else rows.where(F.col("size") <= CROWD)
-        left = few.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-        right = few.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-        pairs.append(left.join(right, "key").where("a < b AND a_root <> b_root").select("a", "b"))
-        many = rows.where(F.col("size") > CROWD)
-        if last or many.isEmpty():
-            break
-        further = many.join(bodies.select("node", "bands"), "node").select("key", "band", "node", "root", F.posexplode("bands").alias("next", "value"))
-        rows = further.where("next > band").select(F.xxhash64("key", "value").alias("key"), F.col("next").alias("band"), "node", "root")
-    every = pairs[0]
-    for more in pairs[1:]:
-        every = every.unionByName(more)
-    return settle(components(found.unionByName(compared(every))))
+    def classed(some: DataFrame, roots: DataFrame) -> DataFrame:
+        return some.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    found = compared(_leaders(rows, range(1)))
+    for turn in range(TURNS):
+        rows = settle(_undecided(classed(rows, settle(components(found)))))
+        found = found.unionByName(compared(_leaders(rows, range(1 + turn * LEADERS, 1 + (turn + 1) * LEADERS))))
+    rows = settle(_undecided(classed(rows, settle(components(found)))))
+    left = rows.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
+    right = rows.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
+    rest = left.join(right, "key").where("a < b AND a_root <> b_root").select("a", "b")
+    return settle(components(found.unionByName(compared(rest))))
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:

@@ -61,26 +61,6 @@ def reload(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def publish(state: DataFrame, base: str, version: str, table: str | None = None) -> DataFrame:
-    """Write a merged state to its own version folder and let the catalog ``table`` point at it.
-
-    Readers of the previous version keep their files; a version is written once. The table is an
-    external one whose location moves after the write, so every session that shares the catalog
-    sees the new state, and a failed write leaves the old one in place.
-    """
-    path = f"{base.rstrip('/')}/{version}"
-    spark = state.sparkSession
-    state.write.mode("errorifexists").parquet(path)
-    if table is None:
-        return spark.read.parquet(path)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.catalog.createTable(table, path=path, source="parquet")
-    return spark.table(table)
-
-
 def touched_partitions(target: DataFrame, source: DataFrame, columns: list[str]) -> DataFrame:
     """The target rows in partitions that ``source`` also has, the one of NULL included."""
     wanted = source.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(columns)]).distinct()

@@ -117,3 +117,13 @@ def test_a_run_without_common_ends_is_not_multiplied_out():
     ids, group = np.zeros(100_000, np.int64), np.zeros(100_000, np.int64)
     doc, a, b, times = al.shared(ids, group, ids + 1, group, np.zeros(1, np.int64))
     assert (doc.tolist(), a.tolist(), b.tolist(), times.tolist()) == ([0], [0], [1], [10**10])
+
+
+def test_a_long_text_is_worked_on_in_parts(models, monkeypatch):
+    a, b = al._sides(A, B)
+    texts = [words(3, 2000), "", "x" * 3000, words(4, 10)]
+    whole = al.align(texts, a, b)
+    monkeypatch.setattr(al, "PIECE", 64)
+    parts = al.align(texts, a, b)
+    for name, value in whole.items():
+        assert list(value) == list(parts[name]), name

@@ -67,8 +67,8 @@ def test_groups_equal_brute_force(stored):
     assert ss.report(stored([], 1)).count() == 0
 
 
-def test_crowded_buckets_lose_no_link(stored, monkeypatch):
-    monkeypatch.setattr(ss, "CROWD", 3)
+def test_leaders_alone_do_not_decide(stored, monkeypatch):
+    monkeypatch.setattr(ss, "TURNS", 0)
     check(stored, made())
 
 

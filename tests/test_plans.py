@@ -1,12 +1,14 @@
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import PySparkException
 
 from shiftloom.operators import hierarchy, lookups
 from shiftloom.operators.lookups import Lookup, column_pairs, fact_lookups, resolve
 from shiftloom.plans.metadata import forecast_lookup_table
 from shiftloom.sources import tables
+from shiftloom.sources.tables import settle
 
 REASON = ("ReasonID int, ReasonCode string, ReasonCodeParent string, ReasonHierarchy string, ReasonName string, "
           "OeeCategory string, ReasonPath string")
@@ -36,6 +38,46 @@ def test_flatten_follows_parents_whatever_the_path_depth(spark):
     assert all(found[n].Level1Name == "n0" and found[n].Level2Name == f"n{n}" for n in range(1, 14))
 
 
+NODES = "ReasonID int, ReasonCode string, ReasonHierarchy string, ReasonName string, OeeCategory string, Level int, ReasonParentID int"
+
+
+def climbed(rows):
+    """Names by level of each row that reaches a root, by walking up."""
+    by, out = {r[0]: r for r in rows if r[0] is not None}, []
+    for r in rows:
+        names, seen, at = {}, set(), r
+        while at is not None and id(at) not in seen:
+            seen.add(id(at))
+            names.setdefault(at[5], at[3])
+            if at[5] == 1:
+                out.append((r[0], r[3], *[names.get(n) for n in range(1, 11)]))
+                break
+            at = by.get(at[6])
+    return sorted(out, key=repr)
+
+
+def names_of(rows):
+    return sorted(((r.ReasonID, r.ReasonName, *[r[f"Level{n}Name"] for n in range(1, 11)]) for r in rows), key=repr)
+
+
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.integers(0, 13)), st.booleans()), max_size=14))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_flatten_equals_walking_up(spark, parts):
+    rows = [(n, "c", "H", f"n{n}" if named else None, "o", level, up) for n, (level, up, named) in enumerate(parts)]
+    rows += [(None, "c", "H", "no id", "o", 3, 0), (None, "c", "H", "root", "o", 1, 5)]
+    assert names_of(hierarchy.flatten(spark.createDataFrame(rows, NODES)).collect()) == climbed(rows)
+
+
+def test_a_long_chain_takes_few_joins(spark, monkeypatch):
+    rows = [(n, "c", "H", f"n{n}", "o", min(n, 300) + 1, n - 1) for n in range(1000)]
+    rows += [(2000 + n, "c", "H", f"loop{n}", "o", 5, 2000 + (n + 1) % 50) for n in range(50)] + [(3000, "c", "H", "below", "o", 6, 2007)]
+    written = []
+    monkeypatch.setattr(hierarchy, "settle", lambda df: written.append(settle(df)) or written[-1])
+    found = hierarchy.flatten(spark.createDataFrame(rows, NODES))
+    assert names_of(found.collect()) == climbed(rows) and found.count() == 1000
+    assert len(written) <= 12
+
+
 @pytest.mark.parametrize("twice", [(3, "A", None, "h", "A2", "o", "A"), (2, "c", None, "H", "C", "o", "C")])
 def test_repeated_codes_and_ids_fail(spark, twice):
     rows = [(1, "a", None, "H", "A", "o", "A"), (2, "b", "a", "H", "B", "o", "A\\B"), twice]
@@ -87,12 +129,6 @@ def test_sinks(spark, tmp_path):
     tables.reload(rows, f"{base}/s")
     tables.clear(spark, f"{base}/s")
     assert tables.read_table(spark, f"{base}/s").schema == rows.schema and spark.read.parquet(f"{base}/s").count() == 0
-    name = f"published_{tables.new_name()}"
-    assert tables.publish(rows, f"{base}/p", "v1", name).count() == 2
-    tables.publish(rows.where("v = 1"), f"{base}/p", "v2", name)
-    assert spark.newSession().table(name).count() == 1 and spark.read.parquet(f"{base}/p/v1").count() == 2
-    with pytest.raises(PySparkException):
-        tables.publish(rows, f"{base}/p", "v1", name)
 
 
 def test_null_partitions_are_merged(spark, tmp_path):
