@@ -8,9 +8,11 @@ all registers of a band meet. For a pair that met, the counts of registers at wh
 other or neither is ahead give the likelihood of each similarity; pairs that the bound all but
 excludes are dropped, and the others are compared on their full sets.
 
-Equal sets are one node. In a band's bucket of many nodes most are linked by being compared with
-leaders, other ones in each round; then all nodes of a bucket that are still in different classes
-are compared.
+Equal sets are one node. All nodes of a band's bucket are compared with its leader, the node that most others
+meet. Where a bucket still holds several classes, pairs without the leader are sought in what sets their nodes
+apart from it: two nodes that are linked, not both of them to the leader, share more than about half
+of one's differences, so its rarer half has one of them (``differences``). So a group of many near copies,
+or of texts around a common passage, is not compared pair by pair.
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .graph import components
-from .texts import LOWER, byte_texts, fresh, numbered, settle, whole_text, word_lists
+from .texts import LOWER, byte_texts, forget, fresh, numbered, scratch, settle, whole_text, word_lists
 
 WORDS, SEED = 2, 42
 #: The least similarity, as a fraction.
@@ -39,8 +41,6 @@ BASE, FIRST, LAST = 1.02, 32.0, (1 << 16) - 1
 UNLIKELY = 18.0
 #: Shingles that are sketched at a time, bytes of compressed texts in a batch, sets a task holds for the next pairs.
 SLICE, BATCH, HELD = 1 << 18, 1 << 24, 256
-#: Rounds in which nodes are compared with leaders of their buckets, and the leaders of a bucket in each.
-TURNS, LEADERS = 2, 3
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -235,16 +235,11 @@ def _alike(pairs: DataFrame, bodies: DataFrame, words: int, similarity: tuple[in
     return pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
-def _leaders(rows: DataFrame, seeds: range) -> DataFrame:
-    """Pairs of each row's node with nodes of its bucket that a hash chooses, where their classes differ."""
-    chosen = []
-    for seed in seeds:
-        order = F.xxhash64("node", F.lit(seed))
-        chosen += [F.min_by("node", order).alias(f"node{seed}"), F.min_by("root", order).alias(f"root{seed}")]
-    leaders = F.array(*[F.struct(F.col(f"node{s}").alias("node"), F.col(f"root{s}").alias("root")) for s in seeds])
-    tops = rows.groupBy("key").agg(*chosen).select("key", leaders.alias("leaders"))
-    each = rows.join(tops, "key").select("node", "root", F.explode("leaders").alias("leader"))
-    return each.where("root <> leader.root").select(F.col("node").alias("a"), F.col("leader.node").alias("b"))
+def _leaders(rows: DataFrame) -> DataFrame:
+    """The rows (``key``, ``node``, ``size`` of the bucket) with the bucket's ``leader``: the node that meets most others over all bands."""
+    met = rows.groupBy("node").agg(F.sum("size").alias("met"))
+    tops = rows.join(met, "node").groupBy("key").agg(F.max_by("node", F.struct("met", F.xxhash64("node"))).alias("leader"))
+    return rows.join(tops, "key").select("key", "node", "leader")
 
 
 def _undecided(rows: DataFrame) -> DataFrame:
@@ -253,29 +248,86 @@ def _undecided(rows: DataFrame) -> DataFrame:
     return rows.join(stats.where("one <> two").select("key"), "key")
 
 
+def differences(a: np.ndarray, leader: np.ndarray, similarity: tuple[int, int]) -> tuple[np.ndarray, int, int]:
+    """What one of two sets has and the other has not, and how many of these, the rarest, to look for and to be found by.
+
+    With ``x`` and ``y`` differences, sets ``a`` and ``b`` differ in ``x + y`` less twice those they have in
+    common. Linked sets differ in at most ``r`` times their sizes' sum, ``b`` and the leader in more if they
+    are not linked; so more than ``(x + r * (leader - a)) / 2`` are common, and ``a`` is found by any
+    of the rest and one. ``b`` shares all its differences but a share of its size, and looks for the others
+    and one. A set that is linked to the leader looks for none.
+    """
+    part, whole = similarity
+    own = np.setxor1d(a, leader, assume_unique=True)
+    x, near = len(own), whole - part
+    least = (x * (whole + part) + near * (len(leader) - len(a))) // (2 * (whole + part)) + 1
+    look = 0 if alike(a, leader, similarity) else min(x, len(a) * near // part + 1)
+    return own, look, max(0, x - least + 1)
+
+
+def _apart(nodes: DataFrame, bodies: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of nodes (``node``, ``root``, ``leader``) of different classes that share one of the rarer differences to a leader."""
+    one = bodies.select("node", F.col("packed").alias("left"))
+    two = bodies.select(F.col("node").alias("leader"), F.col("packed").alias("right"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, held = zstandard.ZstdDecompressor().decompress, {}
+        for batch in batches:
+            keys, looks, founds, sets, size, start = batch.column("leader").to_pylist(), [], [], [], 0, 0
+            for k, leader in enumerate(keys):
+                if leader not in held:
+                    if len(held) >= HELD:
+                        held.clear()
+                    held[leader] = shingles(unpack(batch.column("right")[k].as_py()), words)
+                own, look, found = differences(shingles(unpack(batch.column("left")[k].as_py()), words), held[leader], similarity)
+                sets.append(own.view(np.int64))
+                looks.append(look)
+                founds.append(found)
+                size += len(own)
+                if size >= SLICE or k + 1 == len(keys):
+                    part = batch.slice(start, len(sets)).select(["node", "root", "leader"])
+                    edges = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                    each = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(sets)))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array(looks, pa.int64()), pa.array(founds, pa.int64()), each],
+                        names=["node", "root", "leader", "look", "found", "own"],
+                    )
+                    looks, founds, sets, size, start = [], [], [], 0, k + 1
+
+    schema = "node bigint, root bigint, leader bigint, look bigint, found bigint, own array<bigint>"
+    apart = settle(nodes.join(one, "node").join(two, "leader").select("node", "root", "leader", "left", "right").mapInArrow(run, schema))
+    each = apart.select("node", "root", "leader", "look", "found", F.size("own").alias("x"), F.explode("own").alias("item"))
+    common = each.groupBy("leader", "item").agg(F.count("*").alias("f")).where("f > 1")
+    own = Window.partitionBy("leader", "node")
+    # Those that no other node has come first; they are counted, not kept.
+    place = F.col("x") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "item"))
+    ranked = settle(each.join(common, ["leader", "item"]).withColumn("place", place).where("place <= greatest(look, found)"))
+    looking = ranked.where("place <= look").select("leader", "item", F.col("node").alias("a"), F.col("root").alias("a_root"))
+    there = ranked.where("place <= found").select("leader", "item", F.col("node").alias("b"), F.col("root").alias("b_root"))
+    return looking.join(there, ["leader", "item"]).where("a <> b AND a_root <> b_root").select("a", "b")
+
+
 def links(nodes: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
     """``node`` and ``root``: classes of the ``nodes`` (node, n, sketch, bands, packed) under all links."""
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    rows = settle(keys.join(shared, "key").withColumn("root", F.col("node")))
-    bodies = settle(nodes.join(rows.select("node").distinct(), "node", "left_semi").drop("bands"))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        likely = settle(_likely(pairs.where("a <> b"), bodies, similarity))
-        return settle(_alike(likely, bodies, words, similarity))
-
-    def classed(some: DataFrame, roots: DataFrame) -> DataFrame:
-        return some.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    found = compared(_leaders(rows, range(1)))
-    for turn in range(TURNS):
-        rows = settle(_undecided(classed(rows, settle(components(found)))))
-        found = found.unionByName(compared(_leaders(rows, range(1 + turn * LEADERS, 1 + (turn + 1) * LEADERS))))
-    rows = settle(_undecided(classed(rows, settle(components(found)))))
-    left = rows.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = rows.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    rest = left.join(right, "key").where("a < b AND a_root <> b_root").select("a", "b")
-    return settle(components(found.unionByName(compared(rest))))
+    with scratch() as made:
+        keys = nodes.select("node", F.explode("bands").alias("key"))
+        shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        rows = settle(_leaders(settle(keys.join(shared, "key"))))
+        bodies = settle(nodes.join(rows.select("node").distinct(), "node", "left_semi").drop("bands"))
+
+        def compared(pairs: DataFrame) -> DataFrame:
+            likely = settle(_likely(pairs.where("a <> b"), bodies, similarity))
+            return settle(_alike(likely, bodies, words, similarity))
+
+        found = compared(rows.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+        roots = settle(components(found))
+        classed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_ = settle(_undecided(classed).select("node", "root", "leader").distinct())
+        rest = compared(_apart(open_, bodies, words, similarity))
+        whole = components(found.unionByName(rest))
+    whole = settle(whole)
+    forget(nodes.sparkSession, made)
+    return whole
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:

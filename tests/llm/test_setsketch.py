@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from hypothesis import given, settings, strategies as st
 
 from shiftloom.llm import setsketch as ss
 
@@ -67,9 +68,32 @@ def test_groups_equal_brute_force(stored):
     assert ss.report(stored([], 1)).count() == 0
 
 
-def test_leaders_alone_do_not_decide(stored, monkeypatch):
-    monkeypatch.setattr(ss, "TURNS", 0)
-    check(stored, made())
+@given(st.integers(0, 1 << 30), st.integers(4, 60), st.sampled_from([(80, 100), (50, 100), (9, 10)]))
+@settings(max_examples=300, deadline=None)
+def test_linked_sets_share_a_rarer_difference(seed, size, similarity):
+    rng = np.random.default_rng(seed)
+    base = rng.permutation(size + 30).astype(np.uint64)
+    leader = np.sort(base[:size])
+
+    def near(s, edits):
+        kept = rng.choice(s, max(1, len(s) - rng.integers(0, edits + 1)), replace=False)
+        return np.unique(np.r_[kept, rng.choice(base, rng.integers(0, edits + 1))])
+
+    a = near(leader, 2 + size // 4)
+    b = near(a, 1 + size // 8)
+    apart = [ss.differences(x, leader, similarity) for x in (a, b)]
+    met = any(np.isin(x[0][:x[1]], y[0][:y[2]]).any() for x, y in (apart, apart[::-1]))
+    linked = ss.alike(a, b, similarity) and not np.array_equal(a, b)
+    by_leader = ss.alike(a, leader, similarity) and ss.alike(b, leader, similarity)
+    assert met or by_leader or not linked
+
+
+def test_rows_far_from_their_leader_are_compared(stored):
+    base, rng = words(5, 60), random.Random(4)
+    far = [edited(900 + k, base, 0.14) for k in range(40)]
+    rows = [(k, edited(k, base, 0.05)) for k in range(150)] + [(200 + k, text) for k, text in enumerate(far)]
+    rows += [(300 + k, edited(1000 + k, rng.choice(far), 0.05)) for k in range(80)]  # linked to far ones alone
+    check(stored, rows)
 
 
 def test_sketches_merge_and_estimate():
