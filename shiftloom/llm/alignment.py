@@ -33,8 +33,8 @@ from .texts import settle, utf8, whole_text
 # The pattern of byte-level pre-tokens, and how sentence pieces write a space and a byte.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 MARK, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>")
-#: Bytes of text worked on at a time, links (ids and document) of a block, and distinct words that a task remembers.
-PIECE, BLOCK, REMEMBERED = 1 << 18, 1 << 20, 1 << 17
+#: Bytes of text worked on at a time, links (ids and document) of a block, and distinct words that a worker remembers.
+PIECE, BLOCK, REMEMBERED = 1 << 18, 1 << 20, 1 << 18
 
 
 class Csr:
@@ -46,13 +46,14 @@ class Csr:
     @classmethod
     def of(cls, rows: np.ndarray, columns: np.ndarray, data: np.ndarray, height: int, width: int) -> Csr:
         """From entries sorted by row."""
-        return cls(np.searchsorted(rows, np.arange(height + 1)), columns, data, width)
+        return cls(np.r_[0, np.cumsum(np.bincount(rows, minlength=height))], columns, data, width)
 
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.indptr) - 1), np.diff(self.indptr))
 
     def transposed(self) -> Csr:
-        order = np.argsort(self.indices, kind="stable")
+        ordered = not np.any(self.indices[1:] < self.indices[:-1])
+        order = np.arange(len(self.indices)) if ordered else np.argsort(self.indices, kind="stable")
         return Csr.of(self.indices[order], self.rows()[order], self.data[order], self.width, len(self.indptr) - 1)
 
 
@@ -156,7 +157,7 @@ def _letters() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: distinct words are encoded once in a task, and a text is put together from its words."""
+    """One tokenizer: a text is put together from its words, which a worker remembers, from one task to the next too."""
 
     def __init__(self, cut: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], table: list[bytes]):
         self.cut, self.encode = cut, encode
@@ -362,8 +363,6 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 yield made()
         if held:
             yield made()
-        a.clear()
-        b.clear()
 
     return settle(whole_text(docs, "doc_id").mapInArrow(run, schema))
 
