@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import clock, text
+from .intervals import join_versions
 
 UNKNOWN = -1
 
@@ -60,6 +61,18 @@ def _equal(source: DataFrame, column: str, dimension: DataFrame, other: str, nam
     return left == right
 
 
+def _in_range(source: DataFrame, dimension: DataFrame, side: DataFrame, spec: Lookup) -> DataFrame:
+    """``source`` joined to the versions of its key that hold the moment."""
+    mine, theirs = {}, {}
+    for i, (ours, other) in enumerate(spec.on):
+        kinds = (source.schema[ours].dataType, dimension.schema[other].dataType)
+        folds = spec.fold_case and all(isinstance(kind, StringType) for kind in kinds)
+        mine[f"_mine{i}"] = text.fold(F.col(ours)) if folds else F.col(ours)
+        theirs[f"_mine{i}"] = text.fold(F.col(f"_on{i}")) if folds else F.col(f"_on{i}")
+    joined = join_versions(source, side, mine, theirs, spec.effective_at, "_from", "_to")
+    return joined.where(F.col("_from").isNotNull()) if spec.required else joined
+
+
 def look_up(source: DataFrame, dimension: DataFrame | None, spec: Lookup) -> DataFrame:
     """``source`` with the looked-up key added; a missing dimension gives the unknown member."""
     if dimension is None:
@@ -72,13 +85,14 @@ def look_up(source: DataFrame, dimension: DataFrame | None, spec: Lookup) -> Dat
     if spec.effective_at is not None:
         picked |= {"_from": "EffectiveStartTime", "_to": "EffectiveEndTime"}
     side = rows.select(*[F.col(column).alias(name) for name, column in picked.items()])
-    tests = [
-        _equal(source, mine, dimension, theirs, f"_on{i}", spec.fold_case)
-        for i, (mine, theirs) in enumerate(spec.on)
-    ]
     if spec.effective_at is not None:
-        tests.append(F.col(spec.effective_at).between(F.col("_from"), F.col("_to")))
-    joined = source.join(side, reduce(and_, tests), "inner" if spec.required else "left")
+        joined = _in_range(source, dimension, side, spec)
+    else:
+        tests = [
+            _equal(source, mine, dimension, theirs, f"_on{i}", spec.fold_case)
+            for i, (mine, theirs) in enumerate(spec.on)
+        ]
+        joined = source.join(side, reduce(and_, tests), "inner" if spec.required else "left")
     return joined.select(
         *source.columns,
         *[known_or_default(F.col("_key"), spec.unknown).alias(name) for name in (spec.into, *spec.copies)],
