@@ -17,6 +17,18 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 INPUTS: dict[str, str] = {}
 
+# --- versions of each kind of event: thousands a key, some of them overlapping ----------------
+INPUTS["kind_versions"] = """
+SELECT event_id AS VersionKey, event_type AS Kind, CAST(ts AS NTZ) AS EffectiveStartTime,
+       coalesce(CAST(CASE WHEN event_id % 10 = 0 THEN lead(ts, 3) OVER (PARTITION BY event_type ORDER BY ts, event_id)
+                ELSE lead(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) END AS NTZ),
+                CAST('9999-12-31 00:00:00' AS NTZ)) AS EffectiveEndTime
+FROM {events}"""
+INPUTS["kind_readings"] = """
+SELECT event_id AS EventID, upper(event_type) AS Kind, value AS Value,
+       CASE WHEN event_id % 13 <> 0 THEN CAST(ts AS NTZ) END AS ReadTime
+FROM {events}"""
+
 # --- customers by year of order: a slowly changing dimension --------------------------------
 INPUTS["profile"] = """
 SELECT CustomerID, Yr, Priority, Status, Band FROM (
