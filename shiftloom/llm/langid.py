@@ -5,12 +5,16 @@ its edges, hashed into buckets. The model is trained on the driver by stochastic
 descent over a bounded sample of labelled rows; its size depends on the buckets and labels only.
 For prediction the embeddings are multiplied with the softmax weights once, so a text's logits
 are the mean of one table row per subword.
+
+A softmax over known labels cannot tell that a text is in none of them. So the mean log-likelihood of
+its subwords, counted over the training texts of all labels together, is calibrated beside it: a text that is
+less likely than any of the texts set aside, with a margin that is wider for short ones, is rejected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +39,10 @@ SPAN = 1 << 19
 class Settings:
     """``sample`` and ``total``: distinct texts that training sees at most, on average, per label and in all.
     ``excerpt``: characters of a sampled text that training sees, from a place its hash picks.
-    ``lost``: share of the rightly predicted calibration texts that may lie under the score whose
-    middle with that of a blind guess is the least one that is not rejected."""
+    ``lost``: share of the rightly predicted calibration texts that may lie under the score (0.5 at most) whose
+    middle with that of a blind guess is the least one that is not rejected.
+    ``margin``: how many times as unlikely as the least likely calibration text a text may be, ``spread``
+    the part of that which does not shrink with its length."""
 
     sample: int = 1200
     total: int = 10_000
@@ -47,6 +53,8 @@ class Settings:
     rounds: int = 2
     rate: float = 0.5
     lost: float = 0.0005
+    margin: float = 2.0
+    spread: float = 0.1
     seed: int = 17
 
 
@@ -57,6 +65,10 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    known: np.ndarray  # log-likelihood by bucket
+    spread: float = Settings.spread
+    usual: float = 0.0  # mean of it over calibration texts, and how far a text may be below
+    reach: float = np.inf
 
 
 def subwords(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -85,10 +97,10 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), starts
 
 
-def logits(texts: list[bytes], model: Model) -> np.ndarray:
-    """One row per text: the mean of the weights of its subwords, and the bias."""
+def measured(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the logits (the mean of the weights of its subwords, and the bias), the mean log-likelihood and the number of its subwords."""
     data, starts = _joined(texts)
-    sums, counts = np.zeros((len(texts), len(model.labels))), np.zeros(len(texts))
+    sums, likely, counts = np.zeros((len(texts), len(model.labels))), np.zeros(len(texts)), np.zeros(len(texts))
     for begin in range(0, len(data), SPAN):
         end = min(len(data), begin + SPAN)
         for size, at, bucket in subwords(data[begin:end + max(SIZES) - 1]):
@@ -97,8 +109,19 @@ def logits(texts: list[bytes], model: Model) -> np.ndarray:
             full = np.flatnonzero(own[1:] > own[:-1])
             if len(full):
                 sums[full] += np.add.reduceat(model.weights[bucket], own[full], axis=0, dtype=np.float32)
+                likely[full] += np.add.reduceat(model.known[bucket], own[full], dtype=np.float64)
                 counts[full] += own[full + 1] - own[full]
-    return (sums / np.maximum(counts, 1)[:, None] + model.bias) / model.temperature
+    most = np.maximum(counts, 1)
+    return (sums / most[:, None] + model.bias) / model.temperature, likely / most, counts
+
+
+def logits(texts: list[bytes], model: Model) -> np.ndarray:
+    return measured(texts, model)[0]
+
+
+def below(likely: np.ndarray, counts: np.ndarray, usual: float, spread: float) -> np.ndarray:
+    """How far texts are below the usual likelihood, in units that are wider for short ones."""
+    return (usual - likely) / (spread + 1 / np.sqrt(np.maximum(counts, 1)))
 
 
 def softmax(rows: np.ndarray) -> np.ndarray:
@@ -132,7 +155,7 @@ def train(rows: list[tuple[str, bytes]], settings: Settings = Settings()) -> Mod
     """Fit on whole excerpts and on short pieces of them, calibrate on a fifth that was set aside."""
     labels = tuple(sorted({label for label, _ in rows}))
     if not labels:
-        return Model((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, 1.0)
+        return Model((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, 1.0, np.zeros(1 << BUCKET_BITS, np.float32))
     rng, place = np.random.default_rng(settings.seed), {label: k for k, label in enumerate(labels)}
     aside = np.arange(len(rows)) % 5 == 0
     examples: list[tuple[int, bytes]] = []
@@ -170,12 +193,17 @@ def train(rows: list[tuple[str, bytes]], settings: Settings = Settings()) -> Mod
             weights -= rate * mean.T @ wrong / len(chosen)
             bias -= rate * wrong.mean(axis=0)
             done += 1
-    raw = Model(labels, (embed @ weights).astype(np.float32), bias, 1.0, 0.0)
+    seen = np.full(1 << BUCKET_BITS, 0.5)
+    for begin in range(0, len(examples), 256):
+        data, _ = _joined([text for _, text in examples[begin:begin + 256]])
+        for _, _, bucket in subwords(data):
+            seen += np.bincount(bucket, minlength=len(seen))
+    raw = Model(labels, (embed @ weights).astype(np.float32), bias, 1.0, 0.0, np.log(seen / seen.sum()).astype(np.float32))
     return _calibrated(raw, [(place[label], text) for (label, text), out in zip(rows, aside) if out], settings, rng)
 
 
 def _calibrated(model: Model, held: list[tuple[int, bytes]], settings: Settings, rng: np.random.Generator) -> Model:
-    """Choose the temperature by likelihood and the least score that is not rejected."""
+    """Choose the temperature by likelihood, and the least score and likelihood that are not rejected."""
     pieces = []
     for label, text in held:
         parts = text.split()
@@ -184,27 +212,32 @@ def _calibrated(model: Model, held: list[tuple[int, bytes]], settings: Settings,
     both = [row for row in held + pieces if row[1].strip()]
     if not both:
         return model
-    rows, own = logits([text for _, text in both], model), np.array([label for label, _ in both])
+    rows, likely, counts = measured([text for _, text in both], model)
+    own = np.array([label for label, _ in both])
     grid = np.geomspace(0.05, 20, 60)
     loss = [-np.log(softmax(rows / t)[np.arange(len(own)), own] + 1e-12).mean() for t in grid]
     heat = float(grid[int(np.argmin(loss))])
     chances = softmax(rows / heat)
     right = chances.max(axis=1)[chances.argmax(axis=1) == own]
-    # A text of two known languages falls between both; only what is nearer to a blind guess is rejected.
-    least = float(np.quantile(right, settings.lost)) if len(right) else 0.0
-    return Model(model.labels, model.weights, model.bias, heat, (least + 1 / len(model.labels)) / 2)
+    # A text of two known languages falls between both, with half of the score for one of them; only
+    # what is nearer to a blind guess is rejected.
+    least = min(0.5, float(np.quantile(right, settings.lost)) if len(right) else 0.0)
+    usual = float(likely.mean())
+    reach = settings.margin * float(below(likely, counts, usual, settings.spread).max())
+    return replace(model, temperature=heat, threshold=(least + 1 / len(model.labels)) / 2, spread=settings.spread, usual=usual, reach=reach)
 
 
 def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Label, score and rejection of each text of an Arrow column."""
-    found, scores = [UNKNOWN] * len(column), np.zeros(len(column))
+    found, scores, far = [UNKNOWN] * len(column), np.zeros(len(column)), np.zeros(len(column), bool)
     group: list[tuple[int, bytes]] = []
 
     def flush() -> None:
         if group:
-            chances = softmax(logits([text for _, text in group], model))
-            for (k, _), best, row in zip(group, chances.argmax(axis=1), chances):
-                found[k], scores[k] = model.labels[best], min(1.0, float(row[best]))
+            rows, likely, counts = measured([text for _, text in group], model)
+            chances, strange = softmax(rows), below(likely, counts, model.usual, model.spread) > model.reach
+            for (k, _), best, row, odd in zip(group, chances.argmax(axis=1), chances, strange):
+                found[k], scores[k], far[k] = model.labels[best], min(1.0, float(row[best])), odd
         group.clear()
 
     size = 0
@@ -216,7 +249,7 @@ def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.n
             flush()
             size = 0
     flush()
-    return found, scores, np.array([lang == UNKNOWN for lang in found], bool) | (scores < model.threshold)
+    return found, scores, np.array([lang == UNKNOWN for lang in found], bool) | far | (scores < model.threshold)
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
@@ -236,7 +269,7 @@ def identify(docs: DataFrame, model: Model, *keys: str) -> DataFrame:
     """``keys`` with ``lang_pred``, ``score`` (calibrated, 0 to 1) and ``rejected``.
 
     A text that is null or has no letter is ``und`` with score 0 and rejected; any other is
-    rejected if its score is below the calibrated threshold. Repeated rows get equal results, an
+    rejected if its score, or the likelihood of its subwords, is below what calibration allows. Repeated rows get equal results, an
     empty table none, and without labelled rows every text is ``und``. Only the text is looked at.
     """
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from shiftloom.llm import langid, texts
 
@@ -16,12 +17,14 @@ def corpus(n=360):
 
 def test_logits_do_not_depend_on_pieces(monkeypatch):
     rng = np.random.default_rng(1)
-    model = langid.Model(("a", "b"), rng.normal(size=(1 << langid.BUCKET_BITS, 2)).astype(np.float32), np.zeros(2), 1.0, 0.0)
+    weights, known = (rng.normal(size=(1 << langid.BUCKET_BITS, *shape)).astype(np.float32) for shape in ((2,), ()))
+    model = langid.Model(("a", "b"), weights, np.zeros(2), 1.0, 0.0, known)
     some = [words(k, 30).encode() for k in range(7)] + [b"", b"x"]
     whole = langid.logits(some, model)
     assert np.allclose(whole, np.concatenate([langid.logits([t], model) for t in some]), atol=1e-5)
     monkeypatch.setattr(langid, "SPAN", 11)
     assert np.allclose(whole, langid.logits(some, model), atol=1e-5)
+    assert np.allclose([*langid.measured(some, model)[1]], [langid.measured([t], model)[1][0] for t in some], atol=1e-5)
 
 
 def test_held_out_accuracy_and_rejection(stored):
@@ -34,7 +37,7 @@ def test_held_out_accuracy_and_rejection(stored):
     assert np.mean([r.lang_pred == lang for r, lang in held]) > 0.98
     assert np.mean([r.rejected for r, _ in held]) < 0.03
     assert all(0 <= r.score <= 1 for r in found.values())
-    assert found[1].lang_pred in TONGUES
+    assert found[1].rejected and found[1].lang_pred in TONGUES, found[1]
     assert [(found[k].lang_pred, found[k].score, found[k].rejected) for k in (2, 3)] == [("und", 0.0, True)] * 2
 
 
@@ -60,6 +63,28 @@ def test_rejection_is_nearer_to_a_blind_guess():
     for _, text in held:
         for _, _, bucket in langid.subwords(langid._joined([text])[0]):
             weights[bucket, 2] += 0.01
-    model = langid._calibrated(langid.Model(tuple("abcd"), weights, np.zeros(4), 1.0, 0.0), held, langid.Settings(), np.random.default_rng(1))
+    model = langid._calibrated(langid.Model(tuple("abcd"), weights, np.zeros(4), 1.0, 0.0, weights[:, 0]), held, langid.Settings(), np.random.default_rng(1))
     blind = langid.softmax(langid.logits(["文字".encode()], model)).max()
     assert blind < model.threshold <= langid.softmax(langid.logits([t for _, t in held], model)).max(axis=1).max()
+
+
+#: Written for this test: one sentence of everyday life in languages that the table has, and in others.
+OTHERS = {
+    "ja": "日本語の文章は漢字とひらがなとカタカナで書かれています。今日は天気がとても良いので散歩に行きました。",
+    "ru": "Сегодня утром мы пошли в магазин и купили хлеб, молоко и немного свежих овощей для супа на обед.",
+    "pl": "Wczoraj wieczorem poszliśmy do sklepu, żeby kupić chleb, mleko i świeże warzywa na zupę, którą zawsze gotuje moja babcia.",
+    "tr": "Dün akşam büyükannemin her zaman yaptığı çorba için ekmek, süt ve taze sebze almak üzere markete gittik.",
+}
+
+
+def test_languages_never_learned_are_rejected_and_mixed_texts_kept(spark):
+    docs = texts.table(spark, "/root/testdata/sf0.01", "documents")
+    model, rows = langid.fit(docs), docs.where("text is not null and lang is not null").select("lang", "text").collect()
+    assert set(model.labels) == {"de", "en", "es", "fr"}
+    found, _, rejected = langid.predict(pa.array(OTHERS.values()), model)
+    assert rejected.all() and set(found) <= set(model.labels)
+    by = {lang: [r.text for r in rows if r.lang == lang] for lang in model.labels}
+    mixed = [f"{a} {b}" for one in by for two in by if one < two for a, b in zip(by[one][:20], by[two][:20])]
+    assert not langid.predict(pa.array(mixed), model)[2].any()
+    assert langid.predict(pa.array([r.text for r in rows]), model)[2].mean() < 0.002
+    assert docs.where("text is not null").count() - langid.recognised(docs).count() <= 2
