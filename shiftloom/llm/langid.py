@@ -42,7 +42,8 @@ class Settings:
     ``lost``: share of the rightly predicted calibration texts that may lie under the score (0.5 at most) whose
     middle with that of a blind guess is the least one that is not rejected.
     ``margin``: how many times as unlikely as the least likely calibration text a text may be, ``spread``
-    the part of that which does not shrink with its length."""
+    the part of that which does not shrink with its length; ``foreign``: how much of the way from the usual
+    likelihood to that of subwords never seen it must be off as well, so a text mostly in a learned language stays."""
 
     sample: int = 1200
     total: int = 10_000
@@ -55,6 +56,7 @@ class Settings:
     lost: float = 0.0005
     margin: float = 2.0
     spread: float = 0.1
+    foreign: float = 1 / 3
     seed: int = 17
 
 
@@ -69,6 +71,7 @@ class Model:
     spread: float = Settings.spread
     usual: float = 0.0  # mean of it over calibration texts, and how far a text may be below
     reach: float = np.inf
+    least: float = -np.inf  # a text at least as likely is never too strange
 
 
 def subwords(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -224,7 +227,8 @@ def _calibrated(model: Model, held: list[tuple[int, bytes]], settings: Settings,
     least = min(0.5, float(np.quantile(right, settings.lost)) if len(right) else 0.0)
     usual = float(likely.mean())
     reach = settings.margin * float(below(likely, counts, usual, settings.spread).max())
-    return replace(model, temperature=heat, threshold=(least + 1 / len(model.labels)) / 2, spread=settings.spread, usual=usual, reach=reach)
+    return replace(model, temperature=heat, threshold=(least + 1 / len(model.labels)) / 2, spread=settings.spread, usual=usual, reach=reach,
+                   least=usual - settings.foreign * (usual - float(model.known.min())))
 
 
 def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -235,7 +239,7 @@ def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.n
     def flush() -> None:
         if group:
             rows, likely, counts = measured([text for _, text in group], model)
-            chances, strange = softmax(rows), below(likely, counts, model.usual, model.spread) > model.reach
+            chances, strange = softmax(rows), (below(likely, counts, model.usual, model.spread) > model.reach) & (likely < model.least)
             for (k, _), best, row, odd in zip(group, chances.argmax(axis=1), chances, strange):
                 found[k], scores[k], far[k] = model.labels[best], min(1.0, float(row[best])), odd
         group.clear()
