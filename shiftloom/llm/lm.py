@@ -2,11 +2,14 @@
 
 Words and their subwords are counted over all training texts: equal words meet in one bucket (see
 ``blocks``), where they are counted, and cut into subwords, once. Subwords fall into classes by
-whether they begin a word, by the kind of text that they prefer, and by count. The model gives the
-probability of the next class from the classes before it; the counts give that of a subword inside
-its class. It is trained on the driver, on a bounded sample of excerpts, by gradient descent in
-numpy; its size does not depend on the corpus. A word's probability is a weighted mean of the
-product over its subwords and of its own share of all training words.
+whether they begin a word, by the kind of text that they prefer, and by count. Kinds are clusters of all
+training texts: each block clusters its own, the centres are clustered once more, and every text then
+counts for the nearest. The model gives the probability of the next class from the classes before it,
+that of its family first; the counts give that of a subword inside its class. It is trained by gradient
+descent in the tasks, on every window of every training text: in each round the blocks of that round
+start from the same weights, whose means the next round starts from. Its size does not depend on the
+corpus. A word's probability is a weighted mean of the product over its subwords and of its own
+share of all training words.
 
 A text is scored in overlapping windows: ``STEP`` subwords that are scored, each attending to the ones
 before it and to the ``STEP`` subwords before the window, so every subword is scored once.
@@ -15,11 +18,12 @@ before it and to the ``STEP`` subwords before the window, so every subword is sc
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -27,23 +31,34 @@ from . import blocks, bpe
 from .texts import LOWER, settle, whole_text, word_lists
 
 STEP, SIZE, CLASSES = 16, 16, 256
+#: Classes of a family; a class's probability is that of its family times its own inside it.
+FAMILY = 16
+FAMILIES = CLASSES // FAMILY
 #: Weight of a word's share of all training words beside its subwords.
 KNOWN = 0.7
 #: Kinds of text that subwords are grouped by.
 KINDS = 6
+#: Subwords are counted by their numbers modulo this where texts are clustered.
+SPREAD = 512
 SMOOTH = 0.1
 #: Windows that are scored in one go.
 BATCH = 128
+#: Rounds of a pass over all training texts, after each of which the weights are averaged.
+ROUNDS = 4
+#: Partial sums that reach the driver.
+PARTS = 16
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` texts of at most ``excerpt`` characters, chosen by the hash of the text, train the model."""
+    """Every training text is learned from; a small corpus is passed over until it has given ``steps`` batches of windows.
 
-    sample: int = 800
-    excerpt: int = 2000
+    ``sample`` bounds nothing any more; it is accepted for callers that still name it.
+    """
+
+    sample: int | None = None
     steps: int = 900
-    batch: int = 64
+    batch: int = 256
     rate: float = 0.02
     seed: int = 11
 
@@ -119,24 +134,34 @@ def _subword_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def kinds_of(texts: list[np.ndarray], size: int, rng: np.random.Generator) -> np.ndarray:
-    """The kind of text (0 to KINDS - 1) in which each subword is most at home; KINDS if it is unseen."""
-    rows = np.zeros((len(texts), 512))
-    for row, text in zip(rows, texts):
-        np.add.at(row, text % 512, 1)
-    rows = np.sqrt(rows / np.maximum(rows.sum(axis=1, keepdims=True), 1))
-    own = np.zeros(len(texts), np.int64)
-    if len(texts) > KINDS:
-        centres = rows[:1]
-        while len(centres) < KINDS:  # the text farthest from all centres so far
-            far = ((rows[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1)
-            centres = np.r_[centres, rows[[int(far.argmax())]]]
-        for _ in range(12):
-            own = ((rows[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
-            centres = np.stack([rows[own == k].mean(axis=0) if (own == k).any() else rows[rng.integers(len(rows))] for k in range(KINDS)])
-    counts = np.zeros((KINDS, size))
-    for text, k in zip(texts, own):
-        np.add.at(counts[k], text, 1)
+def _shape(texts: list[np.ndarray]) -> np.ndarray:
+    """Square roots of the shares of a text's subwords, by their numbers modulo ``SPREAD``."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    at = np.repeat(np.arange(len(texts)) * SPREAD, sizes) + np.concatenate(texts).astype(np.int64) % SPREAD
+    counts = np.bincount(at, minlength=len(texts) * SPREAD).reshape(-1, SPREAD)
+    return np.sqrt(counts / np.maximum(sizes, 1)[:, None]).astype(np.float32)
+
+
+def _nearest(rows: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row, and the square of its distance but for a constant of the row."""
+    away = (centres**2).sum(axis=1) - 2 * (rows @ centres.T)
+    return away.argmin(axis=1), away.min(axis=1)
+
+
+def cluster(rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``KINDS`` centres of weighted rows, and the weight of each."""
+    lengths, centres = (rows**2).sum(axis=1), rows[[int(weight.argmax())]]
+    while len(centres) < min(KINDS, len(rows)):  # the row farthest from all centres so far
+        centres = np.r_[centres, rows[[int((lengths + _nearest(rows, centres)[1]).argmax())]]]
+    for _ in range(12):
+        member = (_nearest(rows, centres)[0][:, None] == np.arange(len(centres))) * weight[:, None]
+        sums = member.sum(axis=0)
+        centres = np.where(sums[:, None] > 0, member.T @ rows / np.maximum(sums, 1e-9)[:, None], centres).astype(np.float32)
+    return centres, sums
+
+
+def kinds_of(counts: np.ndarray) -> np.ndarray:
+    """The kind of text in which each subword (column) is most at home, from its count in each; ``KINDS`` if it is unseen."""
     rates = (counts + 0.01) / (counts.sum(axis=1, keepdims=True) + 1)
     return np.where(counts.sum(axis=0) > 0, rates.argmax(axis=0), KINDS)
 
@@ -185,117 +210,276 @@ _BEHIND = STEP + np.arange(STEP)[:, None] - np.arange(2 * STEP)[None, :]
 _VISIBLE = _BEHIND >= 0
 
 
-def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
-    """Masked attention of the second half of each window over the whole window, then the class logits."""
-    x = w["embed"][inputs]
-    q, k, v = x[:, STEP:] @ w["query"], x @ w["key"], x @ w["value"]
-    scores = q @ k.transpose(0, 2, 1)
-    scores += np.where(_VISIBLE, w["distance"][np.maximum(_BEHIND, 0)], np.float32(-1e9))
-    scores += np.where(inputs == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-    scores -= scores.max(axis=2, keepdims=True)
-    a = np.exp(scores, out=scores)
+def _attention(w: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
+    """Masked attention of the second half of each window over the whole window, then the hidden layer ``h``.
+
+    Queries, keys and values depend on a class alone, so they are looked up in tables of as many rows
+    as there are classes, the hidden weights already applied to the values.
+    """
+    t = {
+        "query": w["embed"] @ w["query"], "key": w["embed"] @ w["key"],
+        "own": w["embed"] @ w["hidden"][:SIZE], "value": w["embed"] @ (w["value"] @ w["hidden"][SIZE:]),
+    }
+    late = inputs[:, STEP:]
+    q, k, v = t["query"].take(late, axis=0), t["key"].take(inputs, axis=0), t["value"].take(inputs, axis=0)
+    a = q @ k.transpose(0, 2, 1)
+    a += np.where(_VISIBLE, w["distance"][np.maximum(_BEHIND, 0)], np.float32(-1e9))
+    seen = (inputs != PAD)[:, None, :]
+    if (t["query"] @ t["key"].T).max() + w["distance"].max() > 60:
+        a += np.where(seen, np.float32(0), np.float32(-1e9))
+        a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
+    a *= seen
     a /= a.sum(axis=2, keepdims=True)
-    mixed = np.concatenate([x[:, STEP:], a @ v], axis=2)
-    hidden = np.tanh(mixed @ w["hidden"])
-    return {"x": x, "q": q, "k": k, "v": v, "a": a, "mixed": mixed, "h": hidden, "logits": hidden @ w["out"] + w["bias"]}
-
-
-def hidden_values(w: dict[str, np.ndarray], inputs: np.ndarray) -> np.ndarray:
-    """The hidden layer of ``forward``. Queries, keys and values depend on a class alone, so they are
-    looked up in tables of as many rows as there are classes, the hidden weights already applied."""
-    query, key = w["embed"] @ w["query"], w["embed"] @ w["key"]
-    own, value = w["embed"] @ w["hidden"][:SIZE], w["embed"] @ w["value"] @ w["hidden"][SIZE:]
-    scores = query[inputs[:, STEP:]] @ key[inputs].transpose(0, 2, 1)
-    scores += np.where(_VISIBLE, w["distance"][np.maximum(_BEHIND, 0)], np.float32(-1e9))
-    if (query @ key.T).max() + w["distance"].max() > 60:
-        scores += np.where(inputs == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-        scores -= scores.max(axis=2, keepdims=True)
-    a = np.exp(scores, out=scores)
-    a *= (inputs != PAD)[:, None, :]
-    mixed = a @ value[inputs]
-    mixed /= a.sum(axis=2, keepdims=True)
-    mixed += own[inputs[:, STEP:]]
-    return np.tanh(mixed, out=mixed)
+    h = a @ v
+    h += t["own"].take(late, axis=0)
+    return {"q": q, "k": k, "v": v, "a": a, "h": np.tanh(h, out=h)}
+
+
+def _normal(logits: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities along the last axis, in place."""
+    logits -= logits.max(axis=-1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+    return logits
+
+
+def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
+    """The attention of each window and, as ``logits``, the logarithms of all classes' probabilities."""
+    f = _attention(w, inputs)
+    family = _normal(f["h"] @ w["family"] + w["family_bias"])
+    inner = _normal((f["h"] @ w["out"] + w["bias"]).reshape(*family.shape, FAMILY))
+    return f | {"logits": (family[..., None] + inner).reshape(*family.shape[:-1], CLASSES)}
+
+
+def _by_family(w: dict[str, np.ndarray], h: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Log probabilities of the families, and of the classes of the target's own; rows in the order of families, with its edges."""
+    edges = np.searchsorted(y, np.arange(FAMILIES + 1) * FAMILY)
+    family = h @ w["family"]
+    family += w["family_bias"]
+    inner = np.empty((len(h), FAMILY), h.dtype)
+    for k, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+        if a < b:
+            own = slice(k * FAMILY, (k + 1) * FAMILY)
+            np.matmul(h[a:b], w["out"][:, own], out=inner[a:b])
+            inner[a:b] += w["bias"][own]
+    return _normal(family), _normal(inner), edges
 
 
 def class_log10(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """log10 probability of each target class; 0 beyond the end of a text."""
-    hidden = hidden_values(w, inputs).reshape(-1, SIZE)
-    flat = np.maximum(targets, 0).ravel()
-    # The bias is one more row of weights; hidden values lie between -1 and 1, which bounds the logits.
-    weights = np.concatenate([w["out"], w["bias"][None]])
-    logits = np.concatenate([hidden, np.ones((len(hidden), 1), hidden.dtype)], axis=1) @ weights
-    own = logits[np.arange(len(flat)), flat]
-    if np.abs(weights).sum(axis=0).max() > 80:
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        own = own - top
-    total = np.exp(logits, out=logits) @ np.ones(CLASSES, logits.dtype)
-    return np.where(targets.ravel() >= 0, (own - np.log(total)) / np.log(10), 0.0).reshape(targets.shape)
+    hidden = _attention(w, inputs)["h"].reshape(-1, SIZE)
+    flat = targets.ravel()
+    order = np.argsort(flat, kind="stable")[np.count_nonzero(flat < 0):]
+    y = flat[order]
+    family, inner, _ = _by_family(w, hidden.take(order, axis=0), y)
+    place, out = np.arange(len(y)), np.zeros(len(flat))
+    out[order] = (family[place, y // FAMILY] + inner[place, y % FAMILY]) / np.log(10)
+    return out.reshape(targets.shape)
+
+
+def _scattered(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by ``index``."""
+    order = np.argsort(index, kind="stable")
+    ranked, out = index[order], np.zeros((size, values.shape[1]), values.dtype)
+    starts = np.flatnonzero(np.diff(ranked, prepend=-1))
+    out[ranked[starts]] = np.add.reduceat(values.take(order, axis=0), starts, axis=0)
+    return out
 
 
 def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log likelihood of the targets."""
-    f = forward(w, inputs)
-    chance = f["logits"] - f["logits"].max(axis=2, keepdims=True)
-    chance = np.exp(chance)
-    chance /= chance.sum(axis=2, keepdims=True)
-    real = targets >= 0
-    d = chance
-    rows, cols = np.nonzero(real)
-    d[rows, cols, targets[rows, cols]] -= 1
-    d *= (real / max(1, real.sum()))[:, :, None].astype(np.float32)
-    dh = (d @ w["out"].T) * (1 - f["h"] ** 2)
-    dm = dh @ w["hidden"].T
-    da = dm[:, :, SIZE:] @ f["v"].transpose(0, 2, 1)
-    ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True))
-    dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-    dv = f["a"].transpose(0, 2, 1) @ dm[:, :, SIZE:]
-    dx = dk @ w["key"].T + dv @ w["value"].T
-    dx[:, STEP:] += dm[:, :, :SIZE] + dq @ w["query"].T
-    embed, distance = np.zeros_like(w["embed"]), np.zeros_like(w["distance"])
-    np.add.at(embed, inputs.ravel(), dx.reshape(-1, SIZE))
+    f = _attention(w, inputs)
+    flat, h = targets.ravel(), f["h"].reshape(-1, SIZE)
+    order = np.argsort(flat, kind="stable")[np.count_nonzero(flat < 0):]
+    y, hs = flat[order], h.take(order, axis=0)
+    family, inner, edges = _by_family(w, hs, y)
+    place, scale = np.arange(len(y)), h.dtype.type(1 / max(1, len(y)))
+    np.exp(family, out=family)
+    np.exp(inner, out=inner)
+    family[place, y // FAMILY] -= 1
+    inner[place, y % FAMILY] -= 1
+    family *= scale
+    inner *= scale
+    dh, out, bias = family @ w["family"].T, np.zeros_like(w["out"]), np.zeros_like(w["bias"])
+    for k, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+        if a < b:
+            own = slice(k * FAMILY, (k + 1) * FAMILY)
+            dh[a:b] += inner[a:b] @ w["out"][:, own].T
+            out[:, own], bias[own] = hs[a:b].T @ inner[a:b], inner[a:b].sum(axis=0)
+    dh *= 1 - hs * hs
+    d = np.zeros_like(h)
+    d[order] = dh
+    d = d.reshape(f["h"].shape)
+    # Through the attention, to the tables of queries, keys and values, then to the weights behind them.
+    ds = d @ f["v"].transpose(0, 2, 1)
+    ds -= np.einsum("ijk,ijk->ij", ds, f["a"])[:, :, None]
+    ds *= f["a"]
+    late = _scattered(inputs[:, STEP:].ravel(), np.concatenate([ds @ f["k"], d], axis=2).reshape(-1, 2 * SIZE), CLASSES + 2)
+    whole = np.concatenate([ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ d], axis=2)
+    whole = _scattered(inputs.ravel(), whole.reshape(-1, 2 * SIZE), CLASSES + 2)
+    query, own, key, value = late[:, :SIZE], late[:, SIZE:], whole[:, :SIZE], whole[:, SIZE:]
+    upper, lower, up = w["hidden"][:SIZE], w["hidden"][SIZE:], w["embed"].T
+    distance, through = np.zeros_like(w["distance"]), up @ value
     np.add.at(distance, _BEHIND[_VISIBLE], ds.sum(axis=0)[_VISIBLE])
-    both = lambda a, b: a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
     return {
-        "embed": embed, "distance": distance, "query": both(f["x"][:, STEP:], dq), "key": both(f["x"], dk),
-        "value": both(f["x"], dv), "hidden": both(f["mixed"], dh), "out": both(f["h"], d), "bias": d.sum(axis=(0, 1)),
+        "embed": query @ w["query"].T + key @ w["key"].T + own @ upper.T + value @ (w["value"] @ lower).T,
+        "distance": distance, "query": up @ query, "key": up @ key, "value": through @ lower.T,
+        "hidden": np.concatenate([up @ own, w["value"].T @ through]), "out": out, "bias": bias,
+        "family": hs.T @ family, "family_bias": family.sum(axis=0),
     }
 
 
-def train(texts: list[np.ndarray], share: np.ndarray, settings: Settings) -> dict[str, np.ndarray]:
-    """Weights after some hundred steps; without texts, those that give each class its share."""
+def first_weights(share: np.ndarray, settings: Settings) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(settings.seed)
     shapes = {
-        "embed": (CLASSES + 2, SIZE), "query": (SIZE, SIZE), "key": (SIZE, SIZE), "value": (SIZE, SIZE),
-        "hidden": (2 * SIZE, SIZE), "out": (SIZE, CLASSES), "distance": (2 * STEP,), "bias": (CLASSES,),
+        "embed": (CLASSES + 2, SIZE), "query": (SIZE, SIZE), "key": (SIZE, SIZE), "value": (SIZE, SIZE), "hidden": (2 * SIZE, SIZE),
+        "out": (SIZE, CLASSES), "family": (SIZE, FAMILIES), "distance": (2 * STEP,), "bias": (CLASSES,), "family_bias": (FAMILIES,),
     }
     w = {name: rng.normal(0, 0.3 if len(shape) == 2 else 0, shape).astype(np.float32) for name, shape in shapes.items()}
-    w["out"] *= 0 if not texts else 0.3
+    w["out"] *= 0.3
+    w["family"] *= 0.3
     w["bias"] = np.log(share).astype(np.float32)
+    w["family_bias"] = np.log(share.reshape(-1, FAMILY).sum(axis=1)).astype(np.float32)
+    return w
+
+
+def train(
+    texts: list[np.ndarray], share: np.ndarray, settings: Settings, start: dict[str, np.ndarray] | None = None,
+    passes: int | None = None, rate: float = 1.0, seed: int = 0,
+) -> dict[str, np.ndarray]:
+    """Weights after each window of the texts (classes) has been learned from ``passes`` times.
+
+    Without ``start`` the first weights, which give each class about its ``share``; without ``passes`` as
+    many as give ``settings.steps`` batches. ``rate`` falls to a half of itself.
+    """
+    w = {name: v.copy() for name, v in (start or first_weights(share, settings)).items()}
     inputs, targets, _ = windows(texts)
     if not len(inputs):
         return w
+    rng, size = np.random.default_rng([settings.seed, seed]), len(inputs)
+    size = -(-size // -(-size // settings.batch))  # batches of about the same size
+    rounds = -(-len(inputs) // size)
+    passes = passes or max(1, -(-settings.steps // rounds))
     mean, square = ({name: np.zeros_like(v) for name, v in w.items()} for _ in range(2))
-    for step in range(1, settings.steps + 1):
-        pick = rng.integers(0, len(inputs), settings.batch)
-        for name, g in gradients(w, inputs[pick], targets[pick]).items():
+    for step in range(1, passes * rounds + 1):
+        if step % rounds == 1 or rounds == 1:
+            order = rng.permutation(len(inputs))
+        at = (step - 1) % rounds * size
+        pick = order[at:at + size]
+        for name, g in gradients(w, inputs.take(pick, axis=0), targets.take(pick, axis=0)).items():
             mean[name] += 0.1 * (g - mean[name])
             square[name] += 0.01 * (g * g - square[name])
-            rate = settings.rate * (1 - step / (settings.steps + 1)) / (1 - 0.9**step)
-            w[name] -= (rate * mean[name] / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+            now = settings.rate * rate * (1 - step / (passes * rounds + 1) / 2) / (1 - 0.9**step)
+            w[name] -= (now * mean[name] / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-6)).astype(w[name].dtype)
     return w
 
 
-def excerpts(docs: DataFrame, settings: Settings) -> list[bytes]:
-    """A bounded set of distinct training texts."""
-    h = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    some = docs.where(F.col("flag") & (F.length("text") > 0)).select(h.alias("h"), "text")
-    n = some.agg(F.approx_count_distinct("h")).first()[0]
-    room = F.greatest(F.length("text") - settings.excerpt, F.lit(0))
-    part = F.substring("text", (F.pmod(F.col("h"), room + 1) + 1).cast("int"), F.lit(settings.excerpt))
-    rows = some.where(F.col("h") < int(min(1.0, settings.sample / max(1, n)) * (1 << 30))).select("h", part.alias("text")).distinct()
-    return [r.text.encode() for r in rows.orderBy("h", "text").limit(4 * settings.sample).collect()]
+def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate([w[name].ravel() for name in sorted(w)]).astype(np.float64)
+
+
+def _like(flat: np.ndarray, w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    parts = np.split(flat, np.cumsum([w[name].size for name in sorted(w)])[:-1])
+    return {name: part.reshape(w[name].shape).astype(np.float32) for name, part in zip(sorted(w), parts)}
+
+
+def _summed(texts: DataFrame, each: Callable[[dict], np.ndarray]) -> np.ndarray | None:
+    """The sum of what ``each`` gives for the rows of ``texts``: summed in the tasks, then in ``PARTS`` parts, then on the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for row in batch.to_pylist():
+                found = each(row)
+                total = found if total is None else total + found
+        if total is not None:
+            part = TaskContext.get().partitionId() % PARTS
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = sum(np.frombuffer(x.as_py(), np.float64) for x in table.column("sums"))
+        return pa.table({"sums": pa.array([sums.tobytes()], pa.binary())})
+
+    found = texts.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "sums binary").collect()
+    return sum(np.frombuffer(r.sums, np.float64) for r in found) if found else None
+
+
+def _texts_of(row: dict) -> list[np.ndarray]:
+    return np.split(blocks.unpack(row["ids"]).astype(np.int64), np.cumsum(blocks.unpack(row["sizes"]), dtype=np.int64)[:-1])
+
+
+def _encoded(cut: DataFrame, mine: DataFrame, end: int) -> DataFrame:
+    """A written table: the subwords of the training texts of each block, how many windows they have, the centres of their kinds."""
+
+    def finish(own: list[dict], numbers: np.ndarray, gathered: list) -> pa.Table:
+        found = [np.r_[ids, end].astype(np.uint32) for doc, ids in bpe.documents_of(gathered, own, numbers) if doc["flag"]]
+        if not found:
+            return schema.empty_table()
+        centres, weight = cluster(_shape(found), np.ones(len(found)))
+        sizes = np.array([len(t) for t in found])
+        return pa.Table.from_pylist([{
+            "ids": blocks.pack(np.concatenate(found)), "sizes": blocks.pack(sizes), "windows": int((-(-sizes // STEP)).sum()),
+            "centres": centres.tobytes(), "weight": weight.tobytes(),
+        }], schema)
+
+    schema = pa.schema([("ids", pa.binary()), ("sizes", pa.binary()), ("windows", pa.int64()), ("centres", pa.binary()), ("weight", pa.binary())])
+    found = blocks.assemble(cut, mine, finish, "ids binary, sizes binary, windows bigint, centres binary, weight binary")
+    return settle(found.withColumn("number", F.xxhash64("ids", "sizes")))
+
+
+def _centres(texts: DataFrame) -> np.ndarray:
+    """The centres of all blocks, clustered in ``PARTS`` parts and then once more."""
+
+    def read(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        centres = np.concatenate([np.frombuffer(r["centres"], np.float32).reshape(-1, SPREAD) for r in rows])
+        return centres, np.concatenate([np.frombuffer(r["weight"], np.float64) for r in rows])
+
+    def merge(table: pa.Table) -> pa.Table:
+        centres, weight = cluster(*read(table.sort_by("number").to_pylist()))
+        return pa.table({"centres": pa.array([centres.tobytes()], pa.binary()), "weight": pa.array([weight.tobytes()], pa.binary())})
+
+    parts = texts.select("number", "centres", "weight").groupBy(F.pmod("number", F.lit(PARTS)).alias("part"))
+    rows = [r.asDict() for r in parts.applyInArrow(merge, "centres binary, weight binary").collect()]
+    return cluster(*read(sorted(rows, key=lambda r: r["centres"])))[0]
+
+
+def _kind_counts(texts: DataFrame, centres: np.ndarray, end: int) -> np.ndarray:
+    """How often the texts of each kind have each subword."""
+
+    def each(row: dict) -> np.ndarray:
+        found = _texts_of(row)
+        kind = _nearest(_shape(found), centres)[0]
+        at = np.repeat(kind * (end + 1), [len(t) for t in found]) + np.concatenate(found)
+        return np.bincount(at, minlength=KINDS * (end + 1)).astype(np.float64)
+
+    return _summed(texts.select("ids", "sizes"), each).reshape(KINDS, -1)
+
+
+def _trained(texts: DataFrame, classes: np.ndarray, share: np.ndarray, settings: Settings) -> dict[str, np.ndarray]:
+    """The weights after all windows of all texts; a block learns by itself, and the blocks of a round are averaged by their windows."""
+    w = first_weights(share, settings)
+    stats = texts.agg(F.count("*").alias("n"), F.sum("windows").alias("windows")).first()
+    if not stats.n:
+        w["out"] *= 0
+        w["family"] *= 0
+        return w
+    rounds = min(ROUNDS, stats.n)
+    passes = max(1, -(-settings.steps * settings.batch // stats.windows))
+    passes, inside = (1, passes) if stats.n == 1 else (min(passes, ROUNDS), -(-passes // ROUNDS))
+    ranked = texts.select("ids", "sizes", "windows", "number")
+    for k in range(passes * rounds):
+        shared = texts.sparkSession.sparkContext.broadcast((classes, w))
+
+        def each(row: dict, k: int = k) -> np.ndarray:
+            group, start = shared.value
+            found = train([group[t] for t in _texts_of(row)], share, settings, start, inside, 1 - k / (passes * rounds), abs(row["number"]) + k)
+            return np.r_[_flat(found) * row["windows"], row["windows"]]
+
+        sums = _summed(ranked.where(F.pmod(F.col("number"), F.lit(rounds)) == k % rounds), each)
+        if sums is not None:
+            w = _like(sums[:-1] / sums[-1], w)
+        shared.unpersist()
+    return w
 
 
 def _subword_log10(texts: list[np.ndarray], model: Model) -> np.ndarray:
@@ -345,15 +529,13 @@ def report(spark: SparkSession, docs: DataFrame, path: str, settings: Settings =
     for r in subwords.collect():
         counts[r.id] = r.n
     counts[end] = ends
-    rng = np.random.default_rng(settings.seed)
-    texts = [
-        np.array([k for part in split_words(text) for word in part for k in bpe.encode_word(b" " + word, ranks)] + [end])
-        for text in excerpts(rows, settings)
-    ]
+    mine = answered.where(F.col("block") >= 0).select("block", "bucket", "payload", "extra")
+    texts = _encoded(cut, mine, end)
     begins = np.array([token[:1] == b" " for token in bpe.token_table(ranks)] + [True], np.int64)
-    classes, inside = class_table(counts, kinds_of(texts, end + 1, rng) * 2 + begins)
+    kinds = kinds_of(_kind_counts(texts, _centres(texts), end)) if ends else np.full(end + 1, KINDS)
+    classes, inside = class_table(counts, kinds * 2 + begins)
     share = np.bincount(classes, counts + SMOOTH, CLASSES)
-    weights = train([classes[t] for t in texts], np.maximum(share, 1e-9) / share.sum(), settings)
+    weights = _trained(texts, classes, np.maximum(share, 1e-9) / share.sum(), settings)
     model = spark.sparkContext.broadcast(Model(classes, inside, weights, sums.n + ends, sums.v + (ends > 0), ends))
     arrow, kind = to_arrow_type(docs.schema["doc_id"].dataType), docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -388,5 +570,4 @@ def report(spark: SparkSession, docs: DataFrame, path: str, settings: Settings =
         return pa.table({name: pa.array(out[name], t) for name, t in zip(names, kinds)})
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    mine = answered.where(F.col("block") >= 0).select("block", "bucket", "payload", "extra")
     return blocks.assemble(cut, mine, finish, schema)

@@ -86,3 +86,24 @@ def test_nothing_to_learn_from(spark, stored):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens) for r in found) == [(1, 0, 0), (3, 0, 0)]
     assert all(np.isfinite([r.base_score, r.score]).all() for r in found)
     assert lm.report(spark, stored([], 1), PATH, SMALL).count() == 0
+
+
+def test_every_training_text_is_learned_from(spark, stored):
+    """The order of the words of one text, which no count tells, changes the model."""
+    rows = [(100 + k, words(k, 60)) for k in range(120)]
+    few = lm.Settings(sample=3, steps=10)
+    score = lambda table: {r.doc_id: r.score for r in lm.report(spark, stored(table, 1), PATH, few).collect()}
+    plain, at = score(rows), 7
+    turned = score([(d, " ".join(sorted(t.split())) if k == at else t) for k, (d, t) in enumerate(rows)])
+    assert zlib.crc32(str(rows[at][0]).encode()) % 10
+    assert any(abs(plain[d] - turned[d]) > 1e-6 for d, _ in rows if d != rows[at][0])
+
+
+def test_kinds_are_those_of_all_texts():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(100 * (k % 6), 100 * (k % 6) + 80, 200) for k in range(240)]
+    rows = lm._shape(texts)
+    parts = [lm.cluster(rows[k:k + 60], np.ones(60)) for k in range(0, 240, 60)]
+    centres, weight = lm.cluster(*map(np.concatenate, zip(*parts)))
+    kind = lm._nearest(rows, centres)[0]
+    assert weight.sum() == 240 and all(len({*kind[k::6]}) == 1 for k in range(6)) and len({*kind}) == 6
