@@ -266,45 +266,60 @@ def differences(a: np.ndarray, leader: np.ndarray, similarity: tuple[int, int])
 
 
 def _apart(nodes: DataFrame, bodies: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of nodes (``node``, ``root``, ``leader``) of different classes that share one of the rarer differences to a leader."""
+    """Pairs (a, b) of nodes (``node``, ``root``, ``leader``) of different classes that share one of the rarer differences to a leader.
+
+    Linked sets of ``x_a`` and ``x_b`` differences have so many in common that the first of these, the rarest, comes
+    early in both; a pair that meets too late, or whose sizes alone exclude the link, is none. Of two sets
+    that both look, the one of the smaller ``node`` does.
+    """
+    part, whole = similarity
     one = bodies.select("node", F.col("packed").alias("left"))
     two = bodies.select(F.col("node").alias("leader"), F.col("packed").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, held = zstandard.ZstdDecompressor().decompress, {}
         for batch in batches:
-            keys, looks, founds, sets, size, start = batch.column("leader").to_pylist(), [], [], [], 0, 0
+            keys, looks, founds, ns, sets, size, start = batch.column("leader").to_pylist(), [], [], [], [], 0, 0
             for k, leader in enumerate(keys):
                 if leader not in held:
                     if len(held) >= HELD:
                         held.clear()
                     held[leader] = shingles(unpack(batch.column("right")[k].as_py()), words)
-                own, look, found = differences(shingles(unpack(batch.column("left")[k].as_py()), words), held[leader], similarity)
+                a = shingles(unpack(batch.column("left")[k].as_py()), words)
+                own, look, found = differences(a, held[leader], similarity)
                 sets.append(own.view(np.int64))
+                ns.append(len(a))
                 looks.append(look)
                 founds.append(found)
                 size += len(own)
                 if size >= SLICE or k + 1 == len(keys):
-                    part = batch.slice(start, len(sets)).select(["node", "root", "leader"])
+                    rows = batch.slice(start, len(sets)).select(["node", "root", "leader"])
                     edges = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                     each = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(sets)))
                     yield pa.RecordBatch.from_arrays(
-                        [*part.columns, pa.array(looks, pa.int64()), pa.array(founds, pa.int64()), each],
-                        names=["node", "root", "leader", "look", "found", "own"],
+                        [*rows.columns, *(pa.array(c, pa.int64()) for c in (looks, founds, ns)), each],
+                        names=["node", "root", "leader", "look", "found", "n", "own"],
                     )
-                    looks, founds, sets, size, start = [], [], [], 0, k + 1
+                    looks, founds, ns, sets, size, start = [], [], [], [], 0, k + 1
 
-    schema = "node bigint, root bigint, leader bigint, look bigint, found bigint, own array<bigint>"
+    schema = "node bigint, root bigint, leader bigint, look bigint, found bigint, n bigint, own array<bigint>"
     apart = settle(nodes.join(one, "node").join(two, "leader").select("node", "root", "leader", "left", "right").mapInArrow(run, schema))
-    each = apart.select("node", "root", "leader", "look", "found", F.size("own").alias("x"), F.explode("own").alias("item"))
+    each = apart.select("node", "root", "leader", "look", "found", "n", F.size("own").alias("x"), F.explode("own").alias("item"))
     common = each.groupBy("leader", "item").agg(F.count("*").alias("f")).where("f > 1")
     own = Window.partitionBy("leader", "node")
     # Those that no other node has come first; they are counted, not kept.
     place = F.col("x") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "item"))
     ranked = settle(each.join(common, ["leader", "item"]).withColumn("place", place).where("place <= greatest(look, found)"))
-    looking = ranked.where("place <= look").select("leader", "item", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    there = ranked.where("place <= found").select("leader", "item", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    return looking.join(there, ["leader", "item"]).where("a <> b AND a_root <> b_root").select("a", "b")
+
+    def side(name: str) -> list:
+        return ["leader", "item", F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("root", "n", "x", "place", "look"))]
+
+    looking, there = ranked.where("place <= look").select(side("a")), ranked.where("place <= found").select(side("b"))
+    later = F.least(F.expr("x_a - place_a"), F.expr("x_b - place_b")) + 1
+    enough = 2 * (whole + part) * later >= (whole + part) * F.expr("x_a + x_b") - (whole - part) * F.expr("n_a + n_b")
+    fits = F.least("n_a", "n_b") * whole >= F.greatest("n_a", "n_b") * part
+    once = F.expr("a < b OR a <> b AND look_b = 0")
+    return looking.join(there, ["leader", "item"]).where(once & F.expr("root_a <> root_b") & fits & enough).select("a", "b")
 
 
 def links(nodes: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:

@@ -127,3 +127,21 @@ def test_pairs_at_the_bound_meet():
         one, two = ss.bands(ss.sketches([every[:180], every[20:]]))  # 160 of 200
         missed += not (one == two).any()
     assert missed == 0
+
+
+def test_few_pairs_of_a_group_around_a_leader_are_compared(stored, monkeypatch):
+    """Near copies of one text, many of them apart: by far most pairs share no early difference."""
+    base, met, real = words(7, 150), [], ss._apart
+    rows = [(k, edited(k, base, 0.015 + 0.06 * (k % 3 == 0))) for k in range(200)]
+
+    def counted(*args):
+        found = ss.settle(real(*args))
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(ss, "_apart", counted)
+    found = {}
+    for r in ss.near_copies(stored(rows)).collect():
+        found.setdefault(r.best, []).append(str(r.doc_id))
+    assert sorted(map(sorted, found.values())) == groups(rows, brute(rows)[1])
+    assert met[0] < 2000
