@@ -25,6 +25,8 @@ from .texts import settled_path, utf8
 
 #: Words of a block; a longer document is a block of its own.
 BLOCK = 3_000_000
+#: Words of a block that wait to be numbered together.
+WAITING = 500_000
 DOCS = -1
 SCHEMA = "block bigint, bucket int, docs array<struct<doc_id:{doc},flag:boolean,words:bigint>>, payload binary, extra binary"
 
@@ -66,15 +68,27 @@ class _Builder:
         self._clear()
 
     def _clear(self) -> None:
-        self.docs, self.parts, self.size = [], [], 0
+        self.docs, self.flags, self.parts, self.size = [], [], [], 0
+        self.waiting, self.waits = [], 0
         self.numbers: dict[bytes, int] = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
 
+    def _number(self) -> None:
+        """Number the waiting words: each distinct one of them is looked up once."""
+        words = pa.chunked_array(self.waiting, pa.large_binary()).combine_chunks().dictionary_encode()
+        own = np.fromiter(map(self.numbers.__getitem__, words.dictionary.to_pylist()), np.uint32, len(words.dictionary))
+        self.parts.append(own[words.indices.to_numpy()])
+        self.waiting, self.waits = [], 0
+
     def add(self, doc_id, flag: bool, word_lists: Iterable[list[bytes]]) -> None:
         count = 0
         for words in word_lists:
-            self.parts.append((flag, np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words))))
+            self.waiting.append(pa.array(words, pa.large_binary()))
             count += len(words)
+            self.waits += len(words)
+            if self.waits >= WAITING:
+                self._number()
+        self.flags.append(flag)
         self.docs.append({"doc_id": doc_id, "flag": flag, "words": count})
         self.size += count
 
@@ -82,15 +96,15 @@ class _Builder:
         if not self.docs:
             return
         block = (TaskContext.get().partitionId() << 32) + self.number
-        every = np.concatenate([part for _, part in self.parts]) if self.parts else np.empty(0, np.uint32)
-        counts = np.bincount(every, minlength=len(self.numbers))
+        self._number()
+        words, every = list(self.numbers), np.concatenate(self.parts)
+        counts = np.bincount(every, minlength=len(words))
         order = np.argsort(-counts, kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
         yield {"block": block, "bucket": DOCS, "docs": self.docs, "payload": pack(rank[every]), "extra": None}
-        flagged = [part for flag, part in self.parts if flag]
-        chosen = np.bincount(np.concatenate(flagged), minlength=len(order))[order] if flagged else np.zeros(len(order), int)
-        words = list(self.numbers)
+        flagged = np.repeat(self.flags, [doc["words"] for doc in self.docs])
+        chosen = np.bincount(every[flagged], minlength=len(order))[order]
         words = [words[k] for k in order.tolist()]
         bucket = np.fromiter((xxhash.xxh32_intdigest(w) for w in words), np.uint32, len(words)) % self.buckets
         by = np.argsort(bucket, kind="stable")

@@ -12,6 +12,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,10 @@ from .texts import whole_text
 LONG = 64
 #: Encoded words that a task remembers before it starts anew.
 REMEMBERED = 2_000_000
+#: Above every rank.
+NONE = 2**31 - 1
+#: Words that are merged side by side.
+SIDE = 4096
 Ranks = dict[bytes, int]
 
 
@@ -49,13 +54,18 @@ def encode_word(word: bytes, ranks: Ranks) -> list[int]:
     if len(word) > LONG:
         return _encode_long(word, ranks)
     parts = [word[k:k + 1] for k in range(len(word))]
-    get = ranks.get
-    while True:
-        pairs = [(rank, k) for k in range(len(parts) - 1) if (rank := get(parts[k] + parts[k + 1])) is not None]
-        if not pairs:
-            return [ranks[part] for part in parts]
-        k = min(pairs)[1]
-        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+    get, none = ranks.get, NONE
+    pairs = [get(word[k:k + 2], none) for k in range(len(word) - 1)]
+    while pairs and (low := min(pairs)) != none:
+        k = pairs.index(low)
+        part = parts[k] + parts.pop(k + 1)
+        parts[k] = part
+        del pairs[k]
+        if k:
+            pairs[k - 1] = get(parts[k - 1] + part, none)
+        if k < len(pairs):
+            pairs[k] = get(part + parts[k + 1], none)
+    return [ranks[part] for part in parts]
 
 
 def _encode_long(word: bytes, ranks: Ranks) -> list[int]:
@@ -86,6 +96,111 @@ def _encode_long(word: bytes, ranks: Ranks) -> list[int]:
     return [ranks[word[k:end[k]]] for k in range(size) if alive[k]]
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Which two tokens make a third: an open hash table of ``left << 32 | right``, and the rank that the two make."""
+
+    keys: np.ndarray
+    made: np.ndarray
+    bytes: np.ndarray  # the rank of each byte, -1 without one
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left.astype(np.int64) << 32 | right
+        slot = self._slot(wanted)
+        at = self.keys.take(slot)
+        miss = np.flatnonzero((at != wanted) & (at >= 0))
+        while len(miss):
+            slot[miss] = (slot[miss] + 1) & (len(self.keys) - 1)
+            at = self.keys.take(slot[miss])
+            miss = miss[(at != wanted[miss]) & (at >= 0)]
+        return np.where(self.keys.take(slot) == wanted, self.made.take(slot), NONE)
+
+    def _slot(self, wanted: np.ndarray) -> np.ndarray:
+        mixed = wanted.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
+
+
+def pairs_of(ranks: Ranks) -> Pairs:
+    get = ranks.get
+    found: dict[int, int] = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            if (left := get(token[:cut])) is not None and (right := get(token[cut:])) is not None:
+                found[left << 32 | right] = rank
+    size = 1 << max(4, (3 * len(found)).bit_length())
+    table = Pairs(np.full(size, -1, np.int64), np.full(size, NONE, np.int32), np.array([get(bytes([k]), -1) for k in range(256)], np.int32))
+    keys = np.fromiter(found, np.int64, len(found))
+    for key, slot, rank in zip(keys.tolist(), table._slot(keys).tolist(), found.values()):
+        while table.keys[slot] >= 0:
+            slot = (slot + 1) & (size - 1)
+        table.keys[slot], table.made[slot] = key, rank
+    return table
+
+
+def encode_words(words: list[bytes], ranks: Ranks, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one word after the other, and how many each has: those of ``encode_word``.
+
+    Words of similar length are merged side by side, each by its own leftmost pair of lowest rank.
+    """
+    whole = [ranks.get(word) for word in words]
+    counts, parts = np.ones(len(words), np.int64), []
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    open_words = np.fromiter((rank is None for rank in whole), bool, len(words))
+    known = np.flatnonzero(~open_words)
+    parts.append((known, np.array([whole[k] for k in known.tolist()], np.int64)))
+    for k in np.flatnonzero(open_words & (lengths > LONG)).tolist():
+        ids = _encode_long(words[k], ranks)
+        counts[k] = len(ids)
+        parts.append((np.array([k]), np.array(ids, np.int64)))
+    rest = np.flatnonzero(open_words & (lengths <= LONG))
+    rest = rest[np.argsort(lengths[rest], kind="stable")]
+    for at in range(0, len(rest), SIDE):
+        own = rest[at:at + SIDE]
+        ids, counts[own] = _merged([words[k] for k in own.tolist()], lengths[own], pairs)
+        parts.append((own, ids))
+    starts, flat = np.cumsum(counts) - counts, np.empty(counts.sum(), np.int64)
+    for own, ids in parts:
+        many = counts[own]
+        flat[np.repeat(starts[own] - (np.cumsum(many) - many), many) + np.arange(len(ids))] = ids
+    return flat, counts
+
+
+def _merged(words: list[bytes], lengths: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words that are in no vocabulary as a whole, and how many each has."""
+    n, width = len(words), max(1, int(lengths.max()))
+    column = np.arange(width)
+    ids = np.zeros((n, width), np.int32)
+    ids[column < lengths[:, None]] = pairs.bytes[np.frombuffer(b"".join(words), np.uint8)]
+    if ids.min() < 0:
+        raise KeyError("a byte has no rank")
+    made = np.full((n, width), NONE, np.int32)
+    real = column[1:] < lengths[:, None]
+    made[:, :-1][real] = pairs.find(ids[:, :-1][real], ids[:, 1:][real])
+    out, sizes = ids.copy(), lengths.copy()
+    open_rows, left = np.arange(n), lengths.copy()
+    while True:
+        place = made.argmin(axis=1)
+        low = made[np.arange(len(made)), place]
+        go = low < NONE
+        if not go.all():
+            out[open_rows[~go]], sizes[open_rows[~go]] = ids[~go], left[~go]
+            open_rows, left, ids, made, place, low = (x[go] for x in (open_rows, left, ids, made, place, low))
+        if not len(open_rows):
+            break
+        row, behind = np.arange(len(ids)), column[:-1] > place[:, None]
+        np.copyto(ids[:, :-1], ids[:, 1:].copy(), where=behind)
+        np.copyto(made[:, :-1], made[:, 1:].copy(), where=behind)
+        made[:, -1] = NONE
+        ids[row, place] = low
+        made[row, place] = NONE
+        left -= 1
+        after, before = np.flatnonzero(place + 1 < left), np.flatnonzero(place > 0)
+        for who, shift in ((after, 0), (before, -1)):
+            at = place[who] + shift
+            made[who, at] = pairs.find(ids[who, at], ids[who, at + 1])
+    return out[column < sizes[:, None]].astype(np.int64), sizes
+
+
 def splitter(pattern: str) -> Callable[[bytes], list[list[bytes]]]:
     """Cut a text into pre-tokens. White space is meant by its Unicode property."""
     found = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))

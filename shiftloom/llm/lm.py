@@ -42,7 +42,7 @@ KINDS = 6
 SPREAD = 512
 SMOOTH = 0.1
 #: Windows that are scored in one go.
-BATCH = 128
+BATCH = 256
 #: Rounds of a pass over all training texts, after each of which the weights are averaged.
 ROUNDS = 4
 #: Partial sums that reach the driver.
@@ -88,7 +88,7 @@ def split_words(text: bytes) -> Iterator[list[bytes]]:
 ANSWER = "block bigint, bucket int, payload binary, extra binary, total bigint, distinct bigint"
 
 
-def _counted(ranks: bpe.Ranks):
+def _counted(ranks: bpe.Ranks, pairs: bpe.Pairs):
     """Count the words of a bucket over all blocks and cut each into subwords."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -98,22 +98,22 @@ def _counted(ranks: bpe.Ranks):
             chosen = blocks.unpack(blocks.slices(row["extra"])[1]).tolist()
             for word, n in zip(blocks.slices(row["payload"]), chosen):
                 counts[word] += n
-        ids = {word: np.array(bpe.encode_word(b" " + word, ranks), "<u4") for word in counts}
+        flat, sizes = bpe.encode_words([b" " + word for word in counts], ranks, pairs)
+        data, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        ids = {word: data[a:b] for word, a, b in zip(counts, [0, *ends], ends)}
         out = []
         for row in rows:
             words = blocks.slices(row["payload"])
             steps = blocks.slices(row["extra"])[0]
             seen = np.fromiter(map(counts.__getitem__, words), np.int64, len(words))
             out.append({
-                "block": row["block"], "bucket": row["bucket"], "payload": blocks.pack_ragged([ids[w].tobytes() for w in words]),
+                "block": row["block"], "bucket": row["bucket"], "payload": blocks.pack_ragged([ids[w] for w in words]),
                 "extra": blocks.pack_ragged([steps, seen.tobytes()]), "total": None, "distinct": None,
             })
         # One more row: the subwords of the bucket with their counts.
-        flat = np.concatenate([ids[word] for word in counts])
-        weight = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(ids[word]) for word in counts])
-        names, place = np.unique(flat, return_inverse=True)
-        sums = np.zeros(len(names), np.int64)
-        np.add.at(sums, place, weight)
+        weight = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), sizes)
+        names = np.flatnonzero(np.bincount(flat))
+        sums = np.bincount(flat, weight)[names].astype(np.int64)
         out.append({
             "block": -1, "bucket": rows[0]["bucket"], "payload": blocks.pack(names), "extra": sums.tobytes(),
             "total": sum(counts.values()), "distinct": sum(n > 0 for n in counts.values()),
@@ -156,7 +156,9 @@ def cluster(rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarra
     for _ in range(12):
         member = (_nearest(rows, centres)[0][:, None] == np.arange(len(centres))) * weight[:, None]
         sums = member.sum(axis=0)
-        centres = np.where(sums[:, None] > 0, member.T @ rows / np.maximum(sums, 1e-9)[:, None], centres).astype(np.float32)
+        # Each row with its share of the centre's weight, so that no sum is large.
+        shares = (member / np.maximum(sums, 1e-9)).astype(np.float32)
+        centres = np.where(sums[:, None] > 0, shares.T @ rows, centres)
     return centres, sums
 
 
@@ -210,122 +212,164 @@ _BEHIND = STEP + np.arange(STEP)[:, None] - np.arange(2 * STEP)[None, :]
 _VISIBLE = _BEHIND >= 0
 
 
-def _attention(w: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
-    """Masked attention of the second half of each window over the whole window, then the hidden layer ``h``.
+def _tables(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """What the attention needs of each class: queries, keys and values depend on a class alone.
 
-    Queries, keys and values depend on a class alone, so they are looked up in tables of as many rows
-    as there are classes, the hidden weights already applied to the values.
+    The hidden weights are already applied to the values. ``given`` is what a query's class gives to a
+    key's class; it and ``distance`` are multiplied if ``small``, which nothing overflows then, else logarithms.
     """
-    t = {
-        "query": w["embed"] @ w["query"], "key": w["embed"] @ w["key"],
+    query, key = w["embed"] @ w["query"], w["embed"] @ w["key"]
+    given, distance = query @ key.T, w["distance"][np.maximum(_BEHIND, 0)]
+    small = bool(max(given.max(), -given.min(), np.abs(w["distance"]).max()) < 30)
+    if small:
+        np.exp(given, out=given)
+        distance = np.where(_VISIBLE, np.exp(distance), distance.dtype.type(0))
+    else:
+        distance = np.where(_VISIBLE, distance, distance.dtype.type(-1e9))
+    given[:, PAD] = 0 if small else -1e9
+    return {
+        "query": query, "key": key, "given": given, "distance": distance, "small": small,
         "own": w["embed"] @ w["hidden"][:SIZE], "value": w["embed"] @ (w["value"] @ w["hidden"][SIZE:]),
     }
-    late = inputs[:, STEP:]
-    q, k, v = t["query"].take(late, axis=0), t["key"].take(inputs, axis=0), t["value"].take(inputs, axis=0)
-    a = q @ k.transpose(0, 2, 1)
-    a += np.where(_VISIBLE, w["distance"][np.maximum(_BEHIND, 0)], np.float32(-1e9))
-    seen = (inputs != PAD)[:, None, :]
-    if (t["query"] @ t["key"].T).max() + w["distance"].max() > 60:
-        a += np.where(seen, np.float32(0), np.float32(-1e9))
-        a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a *= seen
-    a /= a.sum(axis=2, keepdims=True)
-    h = a @ v
-    h += t["own"].take(late, axis=0)
-    return {"q": q, "k": k, "v": v, "a": a, "h": np.tanh(h, out=h)}
-
-
-def _normal(logits: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probabilities along the last axis, in place."""
-    logits -= logits.max(axis=-1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+
+
+def _attention(t: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
+    """Masked attention of the second half of each window over the whole window, then the hidden layer ``h``.
+
+    ``e`` over ``total`` is the attention, ``mix`` its mean of the values ``v``; ``pair`` numbers a query's and a key's class.
+    """
+    whole = inputs.astype(np.intp)
+    late = whole[:, STEP:]
+    pair = (late * len(t["given"]))[:, :, None] + whole[:, None, :]
+    e = t["given"].take(pair)
+    if t["small"]:
+        e *= t["distance"]
+    else:
+        e += t["distance"]
+        e -= e.max(axis=2, keepdims=True)
+        np.exp(e, out=e)
+    v = t["value"].take(whole, axis=0)
+    total = (e.reshape(-1, 2 * STEP) @ np.ones(2 * STEP, e.dtype)).reshape(late.shape)
+    mix = e @ v
+    mix /= total[:, :, None]
+    h = t["own"].take(late, axis=0)
+    h += mix
+    return {"whole": whole, "pair": pair, "v": v, "e": e, "total": total, "mix": mix, "h": np.tanh(h, out=h)}
+
+
+def _steep(w: dict[str, np.ndarray]) -> bool:
+    """Whether logits may be too large to be raised to; hidden values lie between -1 and 1."""
+    return bool(max((np.abs(w[a]).sum(axis=0) + np.abs(w[b])).max() for a, b in (("out", "bias"), ("family", "family_bias"))) > 60)
+
+
+def _level(logits: np.ndarray, steep: bool) -> np.ndarray:
+    """The logits, lowered in place to 0 at most where they are too large to be raised to."""
+    if steep:
+        logits -= logits.max(axis=-1, keepdims=True)
     return logits
 
 
+def _sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[-1], values.dtype)
+
+
 def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> dict[str, np.ndarray]:
     """The attention of each window and, as ``logits``, the logarithms of all classes' probabilities."""
-    f = _attention(w, inputs)
-    family = _normal(f["h"] @ w["family"] + w["family_bias"])
-    inner = _normal((f["h"] @ w["out"] + w["bias"]).reshape(*family.shape, FAMILY))
+    f, steep = _attention(_tables(w), inputs), _steep(w)
+    family = _level(f["h"] @ w["family"] + w["family_bias"], steep)
+    inner = _level((f["h"] @ w["out"] + w["bias"]).reshape(*family.shape, FAMILY), steep)
+    family, inner = (x - np.log(_sums(np.exp(x)))[..., None] for x in (family, inner))
     return f | {"logits": (family[..., None] + inner).reshape(*family.shape[:-1], CLASSES)}
 
 
 def _by_family(w: dict[str, np.ndarray], h: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Log probabilities of the families, and of the classes of the target's own; rows in the order of families, with its edges."""
-    edges = np.searchsorted(y, np.arange(FAMILIES + 1) * FAMILY)
-    family = h @ w["family"]
-    family += w["family_bias"]
+    """Logits of the families, and of the classes of the target's own; rows in the order of families, with its edges."""
+    edges = y.searchsorted(np.arange(FAMILIES + 1) * FAMILY).tolist()
+    weights = np.ascontiguousarray(w["out"].reshape(SIZE, FAMILIES, FAMILY).transpose(1, 0, 2))
     inner = np.empty((len(h), FAMILY), h.dtype)
-    for k, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+    for own, a, b in zip(weights, edges, edges[1:]):
         if a < b:
-            own = slice(k * FAMILY, (k + 1) * FAMILY)
-            np.matmul(h[a:b], w["out"][:, own], out=inner[a:b])
-            inner[a:b] += w["bias"][own]
-    return _normal(family), _normal(inner), edges
+            np.matmul(h[a:b], own, out=inner[a:b])
+    inner += w["bias"].reshape(-1, FAMILY).take(y // FAMILY, axis=0)
+    family = h @ w["family"]
+    family += w["family_bias"]
+    return family, inner, edges
 
 
-def class_log10(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """log10 probability of each target class; 0 beyond the end of a text."""
-    hidden = _attention(w, inputs)["h"].reshape(-1, SIZE)
+def _by_target(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that have a target, in the order of their targets; these targets."""
     flat = targets.ravel()
     order = np.argsort(flat, kind="stable")[np.count_nonzero(flat < 0):]
-    y = flat[order]
+    return order, flat.take(order).astype(np.intp)
+
+
+def class_log10(
+    w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, tables: dict[str, np.ndarray] | None = None
+) -> np.ndarray:
+    """log10 probability of each target class; 0 beyond the end of a text. ``tables`` are those of ``w``."""
+    order, y = _by_target(targets)
+    hidden = _attention(tables or _tables(w), inputs)["h"].reshape(-1, SIZE)
     family, inner, _ = _by_family(w, hidden.take(order, axis=0), y)
-    place, out = np.arange(len(y)), np.zeros(len(flat))
-    out[order] = (family[place, y // FAMILY] + inner[place, y % FAMILY]) / np.log(10)
+    row, steep, out = np.arange(len(y)) * FAMILY, _steep(w), np.zeros(targets.size)
+    for part, at in ((family, y // FAMILY), (inner, y % FAMILY)):
+        own = _level(part, steep).take(row + at)
+        out[order] += (own - np.log(_sums(np.exp(part, out=part)))) / np.log(10)
     return out.reshape(targets.shape)
 
 
 def _scattered(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by ``index``."""
+    """Sums of the columns of ``values`` by ``index``, as rows."""
     order = np.argsort(index, kind="stable")
-    ranked, out = index[order], np.zeros((size, values.shape[1]), values.dtype)
+    ranked, out = index.take(order), np.zeros((size, len(values)), values.dtype)
     starts = np.flatnonzero(np.diff(ranked, prepend=-1))
-    out[ranked[starts]] = np.add.reduceat(values.take(order, axis=0), starts, axis=0)
+    out[ranked[starts]] = np.add.reduceat(values.take(order, axis=1), starts, axis=1).T
     return out
 
 
 def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log likelihood of the targets."""
-    f = _attention(w, inputs)
-    flat, h = targets.ravel(), f["h"].reshape(-1, SIZE)
-    order = np.argsort(flat, kind="stable")[np.count_nonzero(flat < 0):]
-    y, hs = flat[order], h.take(order, axis=0)
+    t, size = _tables(w), CLASSES + 2
+    f, steep = _attention(t, inputs), _steep(w)
+    order, y = _by_target(targets)
+    h = f["h"].reshape(-1, SIZE)
+    hs, row = h.take(order, axis=0), np.arange(len(y)) * FAMILY
     family, inner, edges = _by_family(w, hs, y)
-    place, scale = np.arange(len(y)), h.dtype.type(1 / max(1, len(y)))
-    np.exp(family, out=family)
-    np.exp(inner, out=inner)
-    family[place, y // FAMILY] -= 1
-    inner[place, y % FAMILY] -= 1
-    family *= scale
-    inner *= scale
-    dh, out, bias = family @ w["family"].T, np.zeros_like(w["out"]), np.zeros_like(w["bias"])
-    for k, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+    scale = h.dtype.type(1 / max(1, len(y)))
+    for part, at in ((family, y // FAMILY), (inner, y % FAMILY)):
+        np.exp(_level(part, steep), out=part)
+        part *= (scale / _sums(part))[:, None]
+        part.reshape(-1)[row + at] -= scale
+    dh, one = np.empty_like(hs), np.ones(len(y), h.dtype)
+    out, bias = np.zeros((FAMILIES, SIZE, FAMILY), h.dtype), np.zeros((FAMILIES, FAMILY), h.dtype)
+    weights = np.ascontiguousarray(w["out"].T).reshape(FAMILIES, FAMILY, SIZE)
+    for k, (a, b) in enumerate(zip(edges, edges[1:])):
         if a < b:
-            own = slice(k * FAMILY, (k + 1) * FAMILY)
-            dh[a:b] += inner[a:b] @ w["out"][:, own].T
-            out[:, own], bias[own] = hs[a:b].T @ inner[a:b], inner[a:b].sum(axis=0)
+            np.matmul(inner[a:b], weights[k], out=dh[a:b])
+            np.matmul(hs[a:b].T, inner[a:b], out=out[k])
+            np.matmul(one[a:b], inner[a:b], out=bias[k])
+    dh += family @ w["family"].T
     dh *= 1 - hs * hs
-    d = np.zeros_like(h)
-    d[order] = dh
-    d = d.reshape(f["h"].shape)
+    place = np.full(len(h), len(y))
+    place[order] = np.arange(len(y))
+    d = np.concatenate([dh, np.zeros((1, SIZE), h.dtype)]).take(place, axis=0).reshape(f["h"].shape)
+    own = _scattered(inputs[:, STEP:].ravel(), np.ascontiguousarray(d.reshape(-1, SIZE).T), size)
     # Through the attention, to the tables of queries, keys and values, then to the weights behind them.
+    d /= f["total"][:, :, None]
     ds = d @ f["v"].transpose(0, 2, 1)
-    ds -= np.einsum("ijk,ijk->ij", ds, f["a"])[:, :, None]
-    ds *= f["a"]
-    late = _scattered(inputs[:, STEP:].ravel(), np.concatenate([ds @ f["k"], d], axis=2).reshape(-1, 2 * SIZE), CLASSES + 2)
-    whole = np.concatenate([ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ d], axis=2)
-    whole = _scattered(inputs.ravel(), whole.reshape(-1, 2 * SIZE), CLASSES + 2)
-    query, own, key, value = late[:, :SIZE], late[:, SIZE:], whole[:, :SIZE], whole[:, SIZE:]
+    ds -= np.einsum("ijk,ijk->ij", d, f["mix"])[:, :, None]
+    ds *= f["e"]
+    pairs = np.bincount(f["pair"].ravel(), ds.ravel(), size * size).reshape(size, size).astype(h.dtype)
+    query, key = pairs @ t["key"], pairs.T @ t["query"]
+    value = (f["e"].transpose(0, 2, 1) @ d).reshape(-1, SIZE)
+    value = _scattered(inputs.ravel(), np.ascontiguousarray(value.T), size)
     upper, lower, up = w["hidden"][:SIZE], w["hidden"][SIZE:], w["embed"].T
     distance, through = np.zeros_like(w["distance"]), up @ value
     np.add.at(distance, _BEHIND[_VISIBLE], ds.sum(axis=0)[_VISIBLE])
     return {
         "embed": query @ w["query"].T + key @ w["key"].T + own @ upper.T + value @ (w["value"] @ lower).T,
         "distance": distance, "query": up @ query, "key": up @ key, "value": through @ lower.T,
-        "hidden": np.concatenate([up @ own, w["value"].T @ through]), "out": out, "bias": bias,
-        "family": hs.T @ family, "family_bias": family.sum(axis=0),
+        "hidden": np.concatenate([up @ own, w["value"].T @ through]), "out": out.transpose(1, 0, 2).reshape(SIZE, CLASSES), "bias": bias.ravel(),
+        "family": hs.T @ family, "family_bias": one @ family,
     }
 
 
@@ -360,17 +404,20 @@ def train(
     size = -(-size // -(-size // settings.batch))  # batches of about the same size
     rounds = -(-len(inputs) // size)
     passes = passes or max(1, -(-settings.steps // rounds))
-    mean, square = ({name: np.zeros_like(v) for name, v in w.items()} for _ in range(2))
+    names, flat = sorted(w), np.concatenate([w[name].ravel() for name in sorted(w)])
+    w = _views(flat, w)
+    mean, square = np.zeros_like(flat), np.zeros_like(flat)
     for step in range(1, passes * rounds + 1):
         if step % rounds == 1 or rounds == 1:
             order = rng.permutation(len(inputs))
         at = (step - 1) % rounds * size
         pick = order[at:at + size]
-        for name, g in gradients(w, inputs.take(pick, axis=0), targets.take(pick, axis=0)).items():
-            mean[name] += 0.1 * (g - mean[name])
-            square[name] += 0.01 * (g * g - square[name])
-            now = settings.rate * rate * (1 - step / (passes * rounds + 1) / 2) / (1 - 0.9**step)
-            w[name] -= (now * mean[name] / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-6)).astype(w[name].dtype)
+        found = gradients(w, inputs.take(pick, axis=0), targets.take(pick, axis=0))
+        g = np.concatenate([found[name].ravel() for name in names])
+        mean += 0.1 * (g - mean)
+        square += 0.01 * (g * g - square)
+        now = settings.rate * rate * (1 - step / (passes * rounds + 1) / 2) / (1 - 0.9**step)
+        flat -= now * mean / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
     return w
 
 
@@ -378,9 +425,9 @@ def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([w[name].ravel() for name in sorted(w)]).astype(np.float64)
 
 
-def _like(flat: np.ndarray, w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def _views(flat: np.ndarray, w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     parts = np.split(flat, np.cumsum([w[name].size for name in sorted(w)])[:-1])
-    return {name: part.reshape(w[name].shape).astype(np.float32) for name, part in zip(sorted(w), parts)}
+    return {name: part.reshape(w[name].shape) for name, part in zip(sorted(w), parts)}
 
 
 def _summed(texts: DataFrame, each: Callable[[dict], np.ndarray]) -> np.ndarray | None:
@@ -477,7 +524,7 @@ def _trained(texts: DataFrame, classes: np.ndarray, share: np.ndarray, settings:
 
         sums = _summed(ranked.where(F.pmod(F.col("number"), F.lit(rounds)) == k % rounds), each)
         if sums is not None:
-            w = _like(sums[:-1] / sums[-1], w)
+            w = _views((sums[:-1] / sums[-1]).astype(np.float32), w)
         shared.unpersist()
     return w
 
@@ -485,10 +532,10 @@ def _trained(texts: DataFrame, classes: np.ndarray, share: np.ndarray, settings:
 def _subword_log10(texts: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 probabilities of all subwords of the texts, one text after the other."""
     inputs, targets, _ = windows([model.classes[t] for t in texts])
-    found = []
+    found, tables = [], _tables(model.weights)
     for begin in range(0, len(inputs), BATCH):
         part = slice(begin, begin + BATCH)
-        found.append(class_log10(model.weights, inputs[part], targets[part])[targets[part] >= 0])
+        found.append(class_log10(model.weights, inputs[part], targets[part], tables)[targets[part] >= 0])
     return np.concatenate(found) + model.inside[np.concatenate(texts)]
 
 
@@ -514,10 +561,10 @@ def report(spark: SparkSession, docs: DataFrame, path: str, settings: Settings =
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = whole_text(docs.withColumn("flag", training()), "doc_id", "flag")
     cut = blocks.cut_into_blocks(rows, split_words, buckets)
-    shared = spark.sparkContext.broadcast(ranks)
+    shared = spark.sparkContext.broadcast((ranks, bpe.pairs_of(ranks)))
 
     def count(table: pa.Table) -> pa.Table:
-        return _counted(shared.value)(table)
+        return _counted(*shared.value)(table)
 
     answered = settle(blocks.words_of(cut).groupBy("bucket").applyInArrow(count, ANSWER))
     stats = answered.where(F.col("block") < 0)

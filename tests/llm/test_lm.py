@@ -107,3 +107,19 @@ def test_kinds_are_those_of_all_texts():
     centres, weight = lm.cluster(*map(np.concatenate, zip(*parts)))
     kind = lm._nearest(rows, centres)[0]
     assert weight.sum() == 240 and all(len({*kind[k::6]}) == 1 for k in range(6)) and len({*kind}) == 6
+
+
+def test_large_weights_give_finite_scores():
+    """Where chances are too small for a float, and where nothing may be raised to as it is."""
+    texts, w = some_weights()
+    inputs, targets, _ = lm.windows(texts)
+    for factor in (8, 60):
+        for kind in (np.float32, np.float64):
+            large = {name: (v * factor).astype(kind) for name, v in w.items()}
+            found = lm.class_log10(large, inputs, targets)
+            assert np.isfinite(found).all() and found.min() < -5
+            assert all(np.isfinite(g).all() for g in lm.gradients(large, inputs, targets).values())
+    assert lm._steep(large) and not lm._tables(large)["small"]
+    rows, places = np.nonzero(targets >= 0)
+    expected = lm.forward(large, inputs)["logits"][rows, places, targets[rows, places]] / math.log(10)
+    assert np.allclose(found[rows, places], expected)
